@@ -1,0 +1,5 @@
+"""Nothing lives here: none of the work this library covers is a stream.
+
+The row-wise operators (list scaling, request building, network scoring) are
+plain projections and may be applied to a streaming DataFrame as they are.
+"""
