@@ -3,7 +3,10 @@
 A group small enough for one task is handled by an ordinary window. A hot group
 is cut into chunks of consecutive rows at quantiles of its order columns; each
 chunk gets its own window, and a small table carries the running state from
-chunk to chunk. Both kinds share one shuffle on (keys, chunk).
+chunk to chunk. Both kinds share one shuffle on (keys, chunk). Without keys the
+whole table is the group and is always cut.
+
+Order columns are numeric and together tell the rows of a group apart.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ def _chunked(
         hot = F.broadcast(hot.select(*copy_keys(keys), F.lit(True).alias("__hot")))
         hot_rows = df.join(hot, same_keys(df, hot, keys), "left_semi")
     else:
-        hot_rows = df if df.count() >= max(layout.hot_rows, 1) else df.limit(0)
+        hot_rows = df
     shares = [i / layout.chunks for i in range(1, layout.chunks)]
     splits = hot_rows.approxQuantile(list(order), shares, 1 / (4 * layout.chunks))
     if not splits[0]:

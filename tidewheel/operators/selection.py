@@ -11,22 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FANOUT = 4096
+FANOUT = 65536
 
 
-def kth_smallest(df: DataFrame, key: Column, k: int) -> tuple[int, int] | None:
-    """``(cut, spare)``: all rows with key <= cut number ``k + spare``.
+def kth_smallest(
+    df: DataFrame, key: Column, k: int, bounds: tuple[int, int] | None = None
+) -> tuple[int, int] | None:
+    """``(cut, spare)``: the rows with key <= cut number ``k + spare``.
 
     ``spare`` is above 0 only when rows tie on the k-th key itself. Null keys
-    are left out; ``None`` if fewer than ``k`` rows remain.
+    are left out; ``None`` if fewer than ``k`` rows remain. ``bounds`` spares the
+    pass that finds the smallest and the largest key.
     """
     keys = df.select(key.cast("bigint").alias("v")).where("v IS NOT NULL")
-    bounds = keys.agg(F.min("v"), F.max("v"), F.count("v")).first()
-    low, high, rows = bounds
-    if k < 1 or rows < k:
+    if bounds is None:
+        bounds = keys.agg(F.min("v"), F.max("v")).first()
+    low, high = bounds
+    if k < 1 or low is None:
         return None
     wanted = k
-    while low < high:
+    while True:
         width = (high - low) // FANOUT + 1
         counts = (
             keys.where(F.col("v").between(low, high))
@@ -34,26 +38,32 @@ def kth_smallest(df: DataFrame, key: Column, k: int) -> tuple[int, int] | None:
             .count()
             .collect()
         )
-        for slot, count in sorted(counts):
-            if count >= wanted:
+        for slot, rows in sorted(counts):
+            if rows >= wanted:
                 break
-            wanted -= count
+            wanted -= rows
+        else:
+            return None
         low, high = low + slot * width, min(high, low + slot * width + width - 1)
-        rows = count
-        if rows == wanted:
-            return high, 0
-    return low, rows - wanted
+        if rows == wanted or low == high:
+            return high, rows - wanted
 
 
-def first_k(df: DataFrame, key: Column, k: int, tiebreak: Column | None = None) -> Column:
+def first_k(
+    df: DataFrame,
+    key: Column,
+    k: int,
+    tiebreak: Column | None = None,
+    bounds: tuple[int, int] | None = None,
+) -> Column:
     """Predicate that holds for exactly the ``k`` rows with the smallest key.
 
     Ties on the cut-off key are split by ``tiebreak``, an integer that tells the
-    tied rows apart.
+    tied rows apart. With fewer than ``k`` keyed rows it holds for all of them.
     """
     if k <= 0:
         return F.lit(False)
-    found = kth_smallest(df, key, k)
+    found = kth_smallest(df, key, k, bounds)
     if found is None:
         return key.isNotNull()
     cut, spare = found

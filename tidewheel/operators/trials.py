@@ -157,18 +157,21 @@ def best_trial(
 ) -> DataFrame:
     """The whole row of the best trial, per ``by``; the smaller trial id wins a tie.
 
-    An aggregation with a partial step, so there is no sort and no hot task.
-    Trials without a usable metric are left out.
+    An aggregation with a partial step, so there is no global sort and no hot
+    task. Trials without a usable metric are passed over inside the aggregate: a
+    filter would make the metric's expression run a second time.
     """
     if mode not in ("min", "max"):
         raise ValueError("mode is 'min' or 'max'")
-    usable = trials.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
     row = F.struct(*trials.columns)
+    value = F.col(metric)
+    usable = value.isNotNull() & ~F.isnan(value.cast("double"))
     if mode == "min":
-        best = F.min_by(row, F.struct(F.col(metric), F.col(trial)))
+        best = F.min_by(row, F.when(usable, F.struct(value, F.col(trial))))
     else:
-        best = F.max_by(row, F.struct(F.col(metric), -F.col(trial)))
-    return usable.groupBy(*by).agg(best.alias("__best")).where("__best IS NOT NULL").select("__best.*")
+        best = F.max_by(row, F.when(usable, F.struct(value, -F.col(trial))))
+    found = trials.groupBy(*by).agg(best.alias("__best"))
+    return found.where("__best IS NOT NULL").select("__best.*")
 
 
 def holdout_split(
@@ -184,7 +187,8 @@ def holdout_exact(
     """Mark exactly ceil(fraction * rows) rows as test rows; ``key`` is a unique integer."""
     wanted = math.ceil(round(fraction * df.count(), 9))
     rank = keyed_rank(seed, key)
-    return df.withColumn(out, first_k(df, rank, wanted, tiebreak=F.col(key)))
+    is_test = first_k(df, rank, wanted, tiebreak=F.col(key), bounds=(0, 2**60 - 1))
+    return df.withColumn(out, is_test)
 
 
 def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
