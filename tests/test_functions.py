@@ -61,7 +61,7 @@ def test_mean_goldens(spark):
     assert one(spark, arrays.mean_list(F.lit([]).cast("array<double>"))) is None
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(LISTS)
 def test_scaled_lists_keep_their_promises(spark, lists):
     rows = spark.createDataFrame([(xs,) for xs in lists], "xs array<double>")

@@ -20,13 +20,14 @@ def rows(spark):
     a = F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 40 * 100)
     value = F.when(F.col("id") % 13 == 0, None).otherwise((F.col("id") * 7919) % 1000 / 8)
     df = ids.select("id", key.cast("bigint").alias("k"), a.alias("a"), value.alias("x"))
-    return df.withColumn("b", (F.col("id") * 31) % 2000).repartition(5)
+    return df.withColumn("b", (F.col("id") * 31) % 2000).repartition(5).persist()
 
 
-@pytest.mark.parametrize("layout", [TINY, LARGE, Layout()])
+@pytest.mark.parametrize(
+    ("keys", "layout"), [(["k"], TINY), (["k"], LARGE), (["k"], Layout()), ([], TINY), ([], LARGE)]
+)
 @pytest.mark.parametrize("order", [["id"], ["a", "b"]])
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_matches_plain_windows(rows, layout, order, keys):
+def test_matches_plain_windows(rows, keys, layout, order):
     window = Window.partitionBy(*keys).orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     expected = rows.select(

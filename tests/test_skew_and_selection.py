@@ -36,7 +36,7 @@ def test_several_keys(spark):
     assert sorted((r.x, r.m) for r in joined.collect()) == [(2.0, 3.0), (4.0, 3.0), (6.0, 6.0)]
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(-(2**40), 2**40), min_size=1, max_size=60), st.data())
 def test_kth_smallest(spark, values, data):
     k = data.draw(st.integers(1, len(values)))
