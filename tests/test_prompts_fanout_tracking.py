@@ -54,9 +54,10 @@ def test_missing_responses_are_errors(table):
 
 
 def test_report_is_numbered_in_input_order(table):
-    done = table.withColumn("response", F.lit("ok")).repartition(4)
     for layout in (Layout(), Layout(chunks=4)):
-        lines = prompts.prompt_report(done, ["n"], layout=layout).collect()
+        numbered = prompts.numbered_prompts(table.repartition(4), ["n"], layout=layout)
+        done = prompts.batch_complete(numbered, complete=lambda requests: ["ok"] * len(requests))
+        lines = prompts.prompt_report(done).collect()
         assert [r.ordinal for r in lines] == list(range(1, 31))
         assert lines[4].prompt_line.startswith("Prompt 5: question 4")
         assert lines[4].response_line == "Response 5: ok"

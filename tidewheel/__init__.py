@@ -1,5 +1,5 @@
 """DataFrame operators for scaling, search, forecasting, training and prompt scoring."""
 
-from tidewheel.session import get_session, shared_dir
+from tidewheel.session import get_session, shared_dir, ship
 
-__all__ = ["get_session", "shared_dir"]
+__all__ = ["get_session", "shared_dir", "ship"]

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 ColumnLike = Column | str
 
 
-def _digest(tag: str | int, ids: Sequence[ColumnLike]) -> Column:
+def digest(tag: str | int, ids: Sequence[ColumnLike]) -> Column:
+    """Hash of the key as hex text; ordering by it shuffles the keys."""
     return F.md5(F.concat_ws(":", F.lit(str(tag)), *(_string(i) for i in ids)))
 
 
@@ -27,7 +28,7 @@ def _string(item: ColumnLike) -> Column:
 
 def keyed_uniform(tag: str | int, *ids: ColumnLike) -> Column:
     """Uniform draw in [0, 1) from the first 32 bits of the hash."""
-    bits = F.conv(F.substring(_digest(tag, ids), 1, 8), 16, 10)
+    bits = F.conv(F.substring(digest(tag, ids), 1, 8), 16, 10)
     return bits.cast("double") / F.lit(4294967296.0)
 
 
@@ -45,7 +46,7 @@ def keyed_int(low: int, high: int, tag: str | int, *ids: ColumnLike) -> Column:
 
 def keyed_rank(tag: str | int, *ids: ColumnLike) -> Column:
     """60-bit non-negative integer; ordering by it shuffles the keys."""
-    return F.conv(F.substring(_digest(tag, ids), 1, 15), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest(tag, ids), 1, 15), 16, 10).cast("bigint")
 
 
 def uniform_of(tag: str | int, *ids: object) -> float:

@@ -95,17 +95,23 @@ def token_cap(text: Column, limit: int = MAX_TOKENS) -> Column:
     return cap_words(text, limit)
 
 
+def numbered_prompts(
+    df: DataFrame, order: Sequence[str], out: str = "ordinal", layout: Layout = Layout()
+) -> DataFrame:
+    """Prompts sorted by ``order`` with their place in it, counted from 1.
+
+    Number the prompts before they are scored: a sort after scoring samples its
+    input first, and would put every prompt to the service twice.
+    """
+    return ordinal(df, [], order, out, layout).orderBy(out)
+
+
 def prompt_report(
-    df: DataFrame,
-    order: Sequence[str],
-    prompt: str = "prompt",
-    response: str = "response",
-    layout: Layout = Layout(),
+    df: DataFrame, number: str = "ordinal", prompt: str = "prompt", response: str = "response"
 ) -> DataFrame:
-    """Numbered prompt and response lines in input order."""
-    numbered = ordinal(df, [], order, "ordinal", layout)
-    return numbered.select(
-        "ordinal",
-        F.format_string("Prompt %d: %s", "ordinal", prompt).alias("prompt_line"),
-        F.format_string("Response %d: %s", "ordinal", response).alias("response_line"),
-    ).orderBy("ordinal")
+    """A prompt and a response line per row of a numbered, scored table."""
+    return df.select(
+        number,
+        F.format_string("Prompt %d: %s", number, prompt).alias("prompt_line"),
+        F.format_string("Response %d: %s", number, response).alias("response_line"),
+    )

@@ -8,6 +8,7 @@ most ``FANOUT`` rows, and what remains is a plain filter on a literal.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +37,15 @@ def kth_smallest(
             keys.where(F.col("v").between(low, high))
             .groupBy(F.expr(f"(v - {low}L) DIV {width}L").alias("slot"))
             .count()
-            .collect()
+            .toArrow()
+            .sort_by("slot")
         )
-        for slot, rows in sorted(counts):
-            if rows >= wanted:
-                break
-            wanted -= rows
-        else:
+        reached = np.cumsum(counts["count"].to_numpy())
+        place = int(np.searchsorted(reached, wanted))
+        if place == len(reached):
             return None
+        slot, rows = counts["slot"][place].as_py(), counts["count"][place].as_py()
+        wanted -= int(reached[place]) - rows
         low, high = low + slot * width, min(high, low + slot * width + width - 1)
         if rows == wanted or low == high:
             return high, rows - wanted

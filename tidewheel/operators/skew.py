@@ -23,6 +23,17 @@ HOT_ROWS = 1_000_000
 _COUNT = "__n"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scanned table with at least one partition per core, split by its unique ``keys``.
+
+    For work that costs far more than moving its input, such as expanding every
+    key into thousands of rows: a table in few files would keep most cores idle.
+    Tables in many files, as on a cluster, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT))
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.keyed import keyed_rank, keyed_uniform
+from tidewheel.functions.keyed import digest, keyed_rank, keyed_uniform
 from tidewheel.operators.ordering import Layout, ordinal
 from tidewheel.operators.selection import first_k
 
@@ -140,7 +140,7 @@ def sample_grid(
     indices = F.sequence(F.lit(0), F.lit(grid_size(space) - 1))
     ranked = F.transform(
         indices,
-        lambda i: F.struct(keyed_rank(f"{seed}:grid", key, i).alias("rank"), i.alias("config_id")),
+        lambda i: F.struct(digest(f"{seed}:grid", [key, i]).alias("rank"), i.alias("config_id")),
     )
     chosen = F.slice(F.array_sort(ranked), 1, n)
     rows = searches.select(key, F.posexplode(chosen).alias("draw", "__pick"))

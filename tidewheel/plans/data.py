@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions.arrays import logspace as logspace_values
 from tidewheel.functions.arrays import mean_list, minmax_list, total
 from tidewheel.operators import ordering, reshape
+from tidewheel.operators.skew import spread
 from tidewheel.plans.registry import normal_sql, query, uniform_sql
 from tidewheel.session import shared_dir
 from tidewheel.sources import generators, tables
@@ -24,9 +25,14 @@ def cents(value: str) -> Column:
     return F.sum(F.col(value).cast("decimal(18,2)")).cast("double")
 
 
+def to_second(stamp: str) -> Column:
+    """A timestamp as text without its fraction; no time zone plays a part."""
+    return F.substring(F.col(stamp).cast("string"), 1, 19)
+
+
 def daily_by_type(spark: SparkSession, folder: str) -> DataFrame:
     """Days as rows, event types as columns, summed values in the cells."""
-    events = load(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    events = load(spark, folder, "events").withColumn("day", F.to_date("ts").cast("string"))
     return reshape.long_to_wide(events, ["day"], "event_type", EVENT_TYPES, cents("value"))
 
 
@@ -42,7 +48,7 @@ _WIDE_SQL = "SELECT strftime(ts,'%Y-%m-%d') AS day, " + ", ".join(
 )
 def scan_table(spark: SparkSession, folder: str) -> DataFrame:
     events = load(spark, folder, "events")
-    return events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return events.withColumn("ts", to_second("ts"))
 
 
 @query("SELECT * FROM customer")
@@ -132,7 +138,8 @@ def literal_rows(spark: SparkSession, folder: str) -> DataFrame:
     FROM customer, range(1, 101) r(pos)"""
 )
 def gen_lists(spark: SparkSession, folder: str) -> DataFrame:
-    return generators.generate_lists(load(spark, folder, "customer"), "c_custkey", 100)
+    keys = spread(load(spark, folder, "customer").select("c_custkey"), "c_custkey")
+    return generators.generate_lists(keys, "c_custkey", 100)
 
 
 @query(
@@ -144,7 +151,8 @@ def gen_lists(spark: SparkSession, folder: str) -> DataFrame:
 )
 def gen_walks(spark: SparkSession, folder: str) -> DataFrame:
     drift = F.lit(0.1) * F.col("s_nationkey")
-    walks = generators.generate_walks(load(spark, folder, "supplier"), "s_suppkey", 100, drift)
+    keys = spread(load(spark, folder, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
+    walks = generators.generate_walks(keys, "s_suppkey", 100, drift)
     return walks.withColumn("y", F.round("y", 6))
 
 
@@ -164,7 +172,8 @@ _FEATURES = [f"f{j}" for j in range(10)]
     + " FROM orders)"
 )
 def gen_regression(spark: SparkSession, folder: str) -> DataFrame:
-    rows = generators.generate_regression(load(spark, folder, "orders"), "o_orderkey", 10)
+    keys = spread(load(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
+    rows = generators.generate_regression(keys, "o_orderkey", 10)
     return rows.withColumns({name: F.round(name, 6) for name in [*_FEATURES, "y"]})
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.operators import forecast, tracking
-from tidewheel.plans.data import cents, load
+from tidewheel.plans.data import cents, load, to_second
 from tidewheel.plans.registry import query
 
 EXPERIMENT = "sales_forecast"
@@ -46,15 +46,19 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monthly_series(spark: SparkSession, folder: str) -> DataFrame:
-    """Price per brand and month; added up per part first, so the join sees few rows."""
-    lines = load(spark, folder, "lineitem")
-    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
-    per_part = lines.groupBy("l_partkey", month.alias("period")).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("__part")
-    )
+    """Price per brand and month.
+
+    A small part table is broadcast; a large one is joined by shuffles that
+    adaptive execution splits where one part is hot.
+    """
+    lines = load(spark, folder, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice")
     part = load(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("series"))
-    joined = per_part.join(part, per_part.l_partkey == part.p_partkey)
-    totals = joined.groupBy("series", "period").agg(F.sum("__part").cast("double").alias("y"))
+    totals = forecast.totals_by_period(
+        lines.join(part, lines.l_partkey == part.p_partkey),
+        ["series"],
+        F.trunc(F.col("l_shipdate").cast("date"), "month"),
+        F.col("l_extendedprice"),
+    )
     return forecast.series_lists(totals, ["series"])
 
 
@@ -172,7 +176,7 @@ _STAMP = "'%Y-%m-%d %H:%M:%S'"
 def run_tree(spark: SparkSession, folder: str) -> DataFrame:
     events = load(spark, folder, "events")
     runs = tracking.run_tree(events, EXPERIMENT, "event_type", "user_id", F.col("ts"), F.col("ts"))
-    stamps = {name: F.date_format(name, "yyyy-MM-dd HH:mm:ss") for name in ("started_at", "ended_at")}
+    stamps = {name: to_second(name) for name in ("started_at", "ended_at")}
     return runs.withColumns(stamps)
 
 

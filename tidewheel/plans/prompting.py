@@ -23,20 +23,18 @@ def user_turns(spark: SparkSession, folder: str) -> DataFrame:
     return turns.select("conv_id", "turn", F.col("text").alias("prompt"))
 
 
-def requests(spark: SparkSession, folder: str) -> DataFrame:
-    return user_turns(spark, folder).withColumn(
-        "request", prompts.chat_request(F.col("prompt"), MODEL)
-    )
+def requests(turns: DataFrame) -> DataFrame:
+    return turns.withColumn("request", prompts.chat_request(F.col("prompt"), MODEL))
 
 
-def answers(spark: SparkSession, folder: str) -> DataFrame:
-    scored = prompts.batch_complete(requests(spark, folder))
+def answers(turns: DataFrame) -> DataFrame:
+    scored = prompts.batch_complete(requests(turns))
     return scored.withColumn("response", prompts.response_text(F.col("response")))
 
 
 @query(f"SELECT conv_id, turn, {_REQUEST_SQL} AS request FROM conversations WHERE role = 'user'")
 def chat_request(spark: SparkSession, folder: str) -> DataFrame:
-    return requests(spark, folder).drop("prompt")
+    return requests(user_turns(spark, folder)).drop("prompt")
 
 
 @query(
@@ -44,7 +42,7 @@ def chat_request(spark: SparkSession, folder: str) -> DataFrame:
     FROM conversations WHERE role = 'user'"""
 )
 def batch_complete(spark: SparkSession, folder: str) -> DataFrame:
-    return answers(spark, folder).select("conv_id", "turn", "response", "error")
+    return answers(user_turns(spark, folder)).select("conv_id", "turn", "response", "error")
 
 
 @query("SELECT conv_id, turn, text AS content FROM conversations")
@@ -76,4 +74,5 @@ def token_cap(spark: SparkSession, folder: str) -> DataFrame:
       FROM conversations WHERE role = 'user') ORDER BY ordinal"""
 )
 def prompt_report(spark: SparkSession, folder: str) -> DataFrame:
-    return prompts.prompt_report(answers(spark, folder), ["conv_id", "turn"])
+    numbered = prompts.numbered_prompts(user_turns(spark, folder), ["conv_id", "turn"])
+    return prompts.prompt_report(answers(numbered))

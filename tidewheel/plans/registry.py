@@ -31,11 +31,11 @@ def double(x: float) -> str:
 
 def uniform_sql(tag: str, *ids: str) -> str:
     """SQL text for the keyed uniform of the package."""
-    return f"(('0x'||substr({_digest_sql(tag, ids)},1,8))::BIGINT/4294967296::DOUBLE)"
+    return f"(('0x'||substr({digest_sql(tag, *ids)},1,8))::BIGINT/4294967296::DOUBLE)"
 
 
 def rank_sql(tag: str, *ids: str) -> str:
-    return f"('0x'||substr({_digest_sql(tag, ids)},1,15))::BIGINT"
+    return f"('0x'||substr({digest_sql(tag, *ids)},1,15))::BIGINT"
 
 
 def normal_sql(tag: str, *ids: str) -> str:
@@ -44,6 +44,6 @@ def normal_sql(tag: str, *ids: str) -> str:
     return f"(sqrt(-2.0::DOUBLE*ln({radius}))*cos(2.0::DOUBLE*pi()*{angle}))"
 
 
-def _digest_sql(tag: str, ids: tuple[str, ...]) -> str:
+def digest_sql(tag: str, *ids: str) -> str:
     parts = "".join(f"||':'||({i})::VARCHAR" for i in ids)
     return f"md5('{tag}'{parts})"

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.operators import fanout, search, trials
+from tidewheel.operators.skew import spread
 from tidewheel.plans.data import load
-from tidewheel.plans.registry import double, query, rank_sql, uniform_sql
+from tidewheel.plans.registry import digest_sql, double, query, rank_sql, uniform_sql
 
 _SEED = 7
 
@@ -28,7 +29,7 @@ def _grid_columns_sql(values: dict[str, tuple], index: str) -> str:
 
 def suppliers(spark: SparkSession, folder: str) -> DataFrame:
     """One search per supplier."""
-    return load(spark, folder, "supplier").select("s_suppkey")
+    return spread(load(spark, folder, "supplier").select("s_suppkey"), "s_suppkey")
 
 
 @query(
@@ -44,7 +45,7 @@ def grid_configs(spark: SparkSession, folder: str) -> DataFrame:
     f"""SELECT s_suppkey, draw::INT AS draw, i::INT AS config_id,
       {_grid_columns_sql(search.BOOST_VALUES, 'i')}
     FROM (SELECT s_suppkey, i, row_number() OVER (PARTITION BY s_suppkey
-        ORDER BY {rank_sql(f'{_SEED}:grid', 's_suppkey', 'i')}, i) - 1 AS draw
+        ORDER BY {digest_sql(f'{_SEED}:grid', 's_suppkey', 'i')}, i) - 1 AS draw
       FROM supplier, range({math.prod(map(len, search.BOOST_VALUES.values()))}) r(i))
     WHERE draw < 100"""
 )
@@ -90,7 +91,7 @@ _CONFIG_SQL = "a, b, round(c, 6) AS c, round(d, 6) AS d, e"
 
 def objective_trials(spark: SparkSession, folder: str) -> DataFrame:
     """Every order is one sample of the space; each sample runs the whole grid axis."""
-    samples = load(spark, folder, "orders")
+    samples = spread(load(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
     return trials.sample_space(samples, "o_orderkey", search.OBJECTIVE_SPACE, _SEED)
 
 
@@ -172,8 +173,9 @@ CHARGE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def charges(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with a row key and what was charged for them, in thousands."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    return load(spark, folder, "lineitem").select(
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    key = F.concat_ws("-", *keys)
+    return spread(load(spark, folder, "lineitem"), *keys).select(
         key.alias("row_key"), *CHARGE_FEATURES, (charge / 1000).alias("charge")
     )
 

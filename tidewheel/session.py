@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -41,3 +43,22 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidewheel-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Python functions refer to it by name, so workers must be able to import it
+    wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, name = os.path.split(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="tidewheel-"), name)
+    context.addPyFile(shutil.make_archive(target, "zip", root, name))
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
