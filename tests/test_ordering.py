@@ -4,12 +4,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tests.helpers import assert_same_rows, rounded
+from tests.helpers import assert_same_rows, plan_of, rounded
 from tidewheel.operators import ordering
 from tidewheel.operators.ordering import Layout
 
-TINY = Layout(hot_share=0.05, hot_rows=50, chunks=8)
-LARGE = Layout(hot_share=1e-6, hot_rows=50, chunks=8)
+TINY = Layout(hot_share=0.05, hot_rows=50, rows_per_chunk=125)
+MANY = Layout(hot_share=1e-6, hot_rows=10, rows_per_chunk=50)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def rows(spark):
 
 
 @pytest.mark.parametrize(
-    ("keys", "layout"), [(["k"], TINY), (["k"], LARGE), (["k"], Layout()), ([], TINY), ([], LARGE)]
+    ("keys", "layout"), [(["k"], TINY), (["k"], MANY), (["k"], Layout()), ([], TINY), ([], MANY)]
 )
 @pytest.mark.parametrize("order", [["id"], ["a", "b"]])
 def test_matches_plain_windows(rows, keys, layout, order):
@@ -53,23 +53,25 @@ def test_second_difference(rows):
 
 
 def test_hot_group_is_cut_into_even_chunks(rows):
-    chunked, split = ordering._chunked(rows, ["k"], ["id"], TINY)
-    assert split
-    sizes = chunked.where("k = 0").groupBy("__chunk").count().toPandas()["count"]
-    assert len(sizes) == TINY.chunks
-    assert sizes.max() <= 2 * 1000 / TINY.chunks
-    assert chunked.where("k = 1").select("__chunk").distinct().count() == 1
+    chunks = ordering._chunked(rows, ["k"], ["id"], TINY)
+    assert chunks.cut
+    sizes = chunks.rows.where("k = 0").groupBy("__chunk").count().toPandas()["count"]
+    assert len(sizes) >= 8 and sizes.max() <= 2 * TINY.rows_per_chunk
+    assert chunks.rows.where("k = 1").select("__chunk").distinct().count() == 1
 
 
 def test_heavy_first_column_is_cut_by_the_second(rows):
-    chunked, _ = ordering._chunked(rows, [], ["a", "b"], TINY)
-    sizes = chunked.groupBy("__chunk").count().toPandas()["count"]
-    assert sizes.max() <= 3 * 2000 / TINY.chunks
+    chunks = ordering._chunked(rows, [], ["a", "b"], TINY)
+    sizes = chunks.rows.groupBy("__chunk").count().toPandas()["count"]
+    assert sizes.max() <= 3 * TINY.rows_per_chunk
 
 
-def test_no_hot_group_means_no_join(rows):
-    plan = ordering.ordinal(rows, ["k"], ["id"])._jdf.queryExecution().toString()
-    assert "Join" not in plan
+def test_one_shuffle_of_the_rows(spark):
+    rows = spark.range(2000).selectExpr("id", "id % 2 AS k", "id * 1.5D AS x")
+    plain = plan_of(ordering.ordinal(rows, ["k"], ["id"]))
+    assert "Join" not in plain and plain.count("Exchange") == 1
+    cut = plan_of(ordering.running_sum(rows, ["k"], ["id"], "x", layout=TINY))
+    assert "SortMergeJoin" not in cut and "SinglePartition" not in cut.split("Subquery")[0]
 
 
 def test_empty_table(spark):

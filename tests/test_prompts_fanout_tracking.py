@@ -54,7 +54,7 @@ def test_missing_responses_are_errors(table):
 
 
 def test_report_is_numbered_in_input_order(table):
-    for layout in (Layout(), Layout(chunks=4)):
+    for layout in (Layout(), Layout(rows_per_chunk=7)):
         numbered = prompts.numbered_prompts(table.repartition(4), ["n"], layout=layout)
         done = prompts.batch_complete(numbered, complete=lambda requests: ["ok"] * len(requests))
         lines = prompts.prompt_report(done).collect()

@@ -94,7 +94,7 @@ def test_folds(spark):
     rows = spark.range(1000).withColumn("label", F.when(F.col("id") % 3 > 0, "hot").otherwise("rare"))
     folds = trials.kfold(rows, "id", 5)
     assert sorted(r.fold for r in folds.select("fold").distinct().collect()) == [0, 1, 2, 3, 4]
-    layout = Layout(hot_share=0.1, hot_rows=10, chunks=5)
+    layout = Layout(hot_share=0.1, hot_rows=10, rows_per_chunk=100)
     dealt = trials.kfold_stratified(rows, "label", "id", 5, layout=layout)
     sizes = dealt.groupBy("label", "fold").count()
     spread = sizes.groupBy("label").agg((F.max("count") - F.min("count")).alias("d")).collect()

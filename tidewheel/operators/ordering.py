@@ -1,16 +1,20 @@
 """Running sums, differences and positions inside ordered groups of any size.
 
 A group small enough for one task is handled by an ordinary window. A hot group
-is cut into chunks of consecutive rows at quantiles of its order columns; each
-chunk gets its own window, and a small table carries the running state from
-chunk to chunk. Both kinds share one shuffle on (keys, chunk). Without keys the
-whole table is the group and is always cut.
-
-Order columns are numeric and together tell the rows of a group apart.
+is cut into chunks of consecutive rows at quantiles of its order columns, and
+each chunk is a window partition of its own. What a chunk has to know of the
+rows before it enters its window as one more row, the seed, which sorts first
+and is dropped again: rows and seeds share one shuffle and nothing is joined
+back. Without keys the whole table is the group and is always cut.
+
+Order columns are numeric and together tell the rows of a group apart. Finding
+hot groups and their quantiles runs when the operator is applied; a table that
+is costly to compute should be written or checkpointed before.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -28,103 +32,125 @@ from tidewheel.operators.skew import (
     same_keys,
 )
 
-CHUNKS = 1000
-"""Chunks per hot group; with HOT_SHARE this bounds the carry table at a million rows."""
-
-BROADCAST_ROWS = 1_000_000
-
-_CHUNK = "__chunk"
+_CHUNK, _HOT, _SEED, _STATE = "__chunk", "__hot", "__seed", "__state"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How groups are split; tests lower the sizes to exercise the chunked path."""
+    """How groups are cut; tests lower the sizes to exercise the chunked path."""
 
     hot_share: float = HOT_SHARE
     hot_rows: int = HOT_ROWS
-    chunks: int = CHUNKS
+    rows_per_chunk: int = 5_000_000
+    max_chunks: int = 10_000
+
 
-    @property
-    def carry_is_small(self) -> bool:
-        return self.chunks / self.hot_share <= BROADCAST_ROWS
+@dataclass(frozen=True)
+class _Chunks:
+    """A table with its chunk numbers; ``cut`` tells whether any group has several."""
+
+    rows: DataFrame
+    keys: Sequence[str]
+    order: Sequence[str]
+    cut: bool
+
+    def window(self) -> WindowSpec:
+        first = [F.col(_SEED).desc()] if self.cut else []
+        return Window.partitionBy(*self.keys, _CHUNK).orderBy(*first, *self.order)
+
+    def seeded(self, part: Column, state: Callable[[Column, WindowSpec], Column]) -> DataFrame:
+        """The rows and, for each later chunk of a hot group, a row holding its ``state``.
+
+        ``part`` sums up one chunk; ``state`` is taken over the parts of a group
+        in chunk order, a window of as many rows as the group has chunks.
+        """
+        if not self.cut:
+            return self.rows.withColumn(_STATE, F.lit(None))
+        parts = self.rows.where(_HOT).groupBy(*self.keys, _CHUNK).agg(part.alias("__part"))
+        chunks = Window.partitionBy(*self.keys).orderBy(_CHUNK)
+        seeds = parts.select(
+            *self.keys,
+            _CHUNK,
+            state(F.col("__part"), chunks).alias(_STATE),
+            F.lit(True).alias(_SEED),
+        ).where(F.col(_STATE).isNotNull())
+        rows = self.rows.withColumn(_SEED, F.lit(False))
+        return rows.unionByName(seeds, allowMissingColumns=True)
+
+    def finish(self, result: DataFrame) -> DataFrame:
+        kept = result.where(~F.col(_SEED)) if self.cut else result
+        return kept.drop(_SEED, _STATE)
 
 
 def _bucket(df: DataFrame, column: str, splits: Sequence[float], out: str) -> DataFrame:
-    inner = sorted(set(splits))
-    if not inner:
-        return df.withColumn(out, F.lit(0.0))
-    bounds = [float("-inf"), *inner, float("inf")]
+    bounds = [float("-inf"), *sorted(set(splits)), float("inf")]
     bucketizer = Bucketizer(splits=bounds, inputCol=column, outputCol=out, handleInvalid="keep")
     return bucketizer.transform(df)
 
 
-def _chunked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], layout: Layout
-) -> tuple[DataFrame, bool]:
-    """Add the chunk number; the flag tells whether any group was hot.
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], layout: Layout) -> _Chunks:
+    """Number the chunks; numbers grow with ``order`` inside a group.
 
-    Chunk numbers grow with ``order`` inside a group, so chunks are runs of
-    consecutive rows. A first order column that repeats one value over several
-    quantiles is split further by the second one.
+    A first order column that repeats one value over several quantiles is split
+    further by the second one.
     """
     if len(order) > 2:
         raise ValueError("order by one or two numeric columns")
-    rest = df
+    hot = None
     if keys:
         counts = key_counts(df, keys)
-        hot = counts.where(is_hot(counts, layout.hot_share, layout.hot_rows))
-        hot = F.broadcast(hot.select(*copy_keys(keys), F.lit(True).alias("__hot")))
-        hot_rows = df.join(hot, same_keys(df, hot, keys), "left_semi")
+        found = counts.where(is_hot(counts, layout.hot_share, layout.hot_rows))
+        n_hot = found.agg(F.sum("__n")).first()[0] or 0
+        wanted = math.ceil(n_hot / layout.rows_per_chunk)
     else:
-        hot_rows = df
-    shares = [i / layout.chunks for i in range(1, layout.chunks)]
-    splits = hot_rows.approxQuantile(list(order), shares, 1 / (4 * layout.chunks))
+        n_hot = df.count()
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        wanted = max(math.ceil(n_hot / layout.rows_per_chunk), cores)
+    splits = [[]]
+    if n_hot:
+        n_chunks = min(max(wanted, 2), layout.max_chunks)
+        source = df
+        if keys:
+            hot = F.broadcast(found.select(*copy_keys(keys), F.lit(True).alias(_HOT)))
+            source = df.join(hot, same_keys(df, hot, keys), "left_semi")
+        shares = [i / n_chunks for i in range(1, n_chunks)]
+        splits = source.approxQuantile(list(order), shares, 1 / (4 * n_chunks))
     if not splits[0]:
-        return df.withColumn(_CHUNK, F.lit(0).cast("bigint")), False
+        rows = df.withColumns({_CHUNK: F.lit(0).cast("bigint"), _HOT: F.lit(False)})
+        return _Chunks(rows, keys, order, cut=False)
 
-    rest = _bucket(rest, order[0], splits[0], "__b0")
+    rows = _bucket(df, order[0], splits[0], "__b0")
     chunk = F.col("__b0").cast("bigint")
     if len(order) == 2:
-        rest = _bucket(rest, order[1], splits[1], "__b1")
+        rows = _bucket(rows, order[1], splits[1], "__b1")
         repeated = sorted({s for s in splits[0] if splits[0].count(s) > 1})
-        inner = F.lit(layout.chunks + 1)
+        last = F.lit(n_chunks + 1)
+        inner = last
         if repeated:
-            inner = F.when(
-                F.col(order[0]).cast("double").isin(repeated), F.col("__b1").cast("bigint")
-            ).otherwise(inner)
-        chunk = chunk * F.lit(layout.chunks + 2) + inner
-    if keys:
-        rest = rest.join(hot, same_keys(rest, hot, keys), "left")
-        chunk = F.when(F.col("__hot"), chunk).otherwise(F.lit(0))
-        rest = drop_copies(rest.withColumn(_CHUNK, chunk), keys)
+            is_repeated = F.col(order[0]).cast("double").isin(repeated)
+            inner = F.when(is_repeated, F.col("__b1").cast("bigint")).otherwise(last)
+        chunk = chunk * F.lit(n_chunks + 2) + inner
+    if hot is None:
+        rows = rows.withColumns({_HOT: F.lit(True), _CHUNK: chunk})
     else:
-        rest = rest.withColumn(_CHUNK, chunk)
-    return rest.drop("__b0", "__b1", "__hot"), True
-
-
-def _with_carry(
-    chunked: DataFrame,
-    keys: Sequence[str],
-    summary: Column,
-    carry: Callable[[Column, WindowSpec], Column],
-    layout: Layout,
-) -> DataFrame:
-    """Join ``carry``, computed over each group's chunks in order, to the rows as ``__carry``."""
-    parts = chunked.groupBy(*keys, _CHUNK).agg(summary.alias("__part"))
-    chunks = Window.partitionBy(*keys).orderBy(_CHUNK)
-    carried = parts.select(
-        *copy_keys([*keys, _CHUNK]), carry(F.col("__part"), chunks).alias("__carry")
-    ).where(F.col("__carry").isNotNull())
-    if layout.carry_is_small:
-        carried = F.broadcast(carried)
-    joined = chunked.join(carried, same_keys(chunked, carried, [*keys, _CHUNK]), "left")
-    return drop_copies(joined, [*keys, _CHUNK])
+        rows = drop_copies(rows.join(hot, same_keys(rows, hot, keys), "left"), keys)
+        rows = rows.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+        rows = rows.withColumn(_CHUNK, F.when(F.col(_HOT), chunk).otherwise(F.lit(0)))
+    return _Chunks(rows.drop("__b0", "__b1"), keys, order, cut=True)
 
 
 def _earlier_sum(part: Column, chunks: WindowSpec) -> Column:
     return F.sum(part).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
 
 
+def _earlier_last(part: Column, chunks: WindowSpec) -> Column:
+    return F.lag(part).over(chunks)
+
+
+def _so_far(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -134,15 +160,11 @@ def running_sum(
     layout: Layout = Layout(),
 ) -> DataFrame:
     """Sum of ``value`` over the group's rows up to and including this one."""
-    chunked, split = _chunked(df, keys, order, layout)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = chunked.withColumn(out, F.sum(value).over(inside))
-    if not split:
-        return local.drop(_CHUNK)
-    joined = _with_carry(local, keys, F.sum(value), _earlier_sum, layout)
-    total = F.coalesce(F.col(out) + F.col("__carry"), F.col(out), F.col("__carry"))
-    return joined.withColumn(out, total).drop(_CHUNK, "__carry")
+    chunks = _chunked(df, keys, order, layout)
+    rows = chunks.seeded(F.sum(value), _earlier_sum)
+    term = F.coalesce(_STATE, value) if chunks.cut else F.col(value)
+    summed = rows.withColumn(out, F.sum(term).over(_so_far(chunks.window())))
+    return chunks.finish(summed).drop(_CHUNK, _HOT)
 
 
 def ordinal(
@@ -153,14 +175,13 @@ def ordinal(
     layout: Layout = Layout(),
 ) -> DataFrame:
     """Position of the row in its group, counted from 1."""
-    chunked, split = _chunked(df, keys, order, layout)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    local = chunked.withColumn(out, F.row_number().over(inside).cast("bigint"))
-    if not split:
-        return local.drop(_CHUNK)
-    joined = _with_carry(local, keys, F.count(F.lit(1)), _earlier_sum, layout)
-    position = F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))
-    return joined.withColumn(out, position).drop(_CHUNK, "__carry")
+    chunks = _chunked(df, keys, order, layout)
+    rows = chunks.seeded(F.count(F.lit(1)), _earlier_sum)
+    if chunks.cut:
+        place = F.sum(F.coalesce(_STATE, F.lit(1))).over(_so_far(chunks.window()))
+    else:
+        place = F.row_number().over(chunks.window()).cast("bigint")
+    return chunks.finish(rows.withColumn(out, place)).drop(_CHUNK, _HOT)
 
 
 def difference(
@@ -173,20 +194,15 @@ def difference(
     layout: Layout = Layout(),
 ) -> DataFrame:
     """``value`` minus the one before it in the group, applied ``times`` times."""
-    result, split = _chunked(df, keys, order, layout)
-    result = result.withColumn(out, F.col(value))
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    chunks = _chunked(df, keys, order, layout)
+    rows = chunks.rows.withColumn(out, F.col(value))
     for _ in range(times):
-        result = result.withColumn("__previous", F.lag(F.struct(F.col(out).alias("y"))).over(inside))
-        if split:
-            last = F.max_by(F.struct(F.col(out).alias("y")), F.struct(*order))
-            result = _with_carry(
-                result, keys, last, lambda part, chunks: F.lag(part).over(chunks), layout
-            )
-            previous = F.coalesce(F.col("__previous"), F.col("__carry"))
-            result = result.withColumn("__previous", previous).drop("__carry")
-        result = result.withColumn(out, F.col(out) - F.col("__previous.y")).drop("__previous")
-    return result.drop(_CHUNK)
+        chunks = _Chunks(rows, keys, order, chunks.cut)
+        seeded = chunks.seeded(F.max_by(out, F.struct(*order)), _earlier_last)
+        current = F.coalesce(_STATE, out) if chunks.cut else F.col(out)
+        moved = seeded.withColumn(out, current - F.lag(current).over(chunks.window()))
+        rows = chunks.finish(moved)
+    return rows.drop(_CHUNK, _HOT)
 
 
 def head_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

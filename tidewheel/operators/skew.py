@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+HOT_SHARE = 1e-5
 """A key with at least this share of all rows is hot; at most 1 / HOT_SHARE keys are."""
 
 HOT_ROWS = 1_000_000
