@@ -126,3 +126,14 @@ def test_run_tree_and_durations(spark):
     )
     spent = {r["mode"]: (r.duration_s, r.speed_up) for r in tracking.run_durations(runs, "one").collect()}
     assert spent == {"one": (30.0, 1.0), "many": (10.0, 3.0)}
+
+
+def test_timed_runs(spark):
+    runs = []
+    for mode, partitions in (("one", 1), ("many", 4)):
+        rows = spark.range(0, 1000, 1, partitions)
+        result, run = tracking.timed(spark, "e", "sum", mode, lambda: rows.agg(F.sum("id")).first()[0])
+        assert result == 499500
+        runs.append(run)
+    spent = tracking.run_durations(runs[0].unionByName(runs[1]), "one")
+    assert {r["mode"] for r in spent.where("duration_s > 0 AND speed_up > 0").collect()} == {"one", "many"}
