@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewheel.functions import arrays, keyed, metrics
+from tidewheel.functions.rounding import to_places
 
 LISTS = st.lists(
     st.lists(st.one_of(st.none(), st.integers(-1000, 1000).map(float)), max_size=8),
@@ -109,3 +110,8 @@ def test_metrics(spark):
     assert row["mse"] == 0.5 and row["score"] == -0.5 and row["accuracy"] == 0.5 and row["mean"] == 1.5
     assert row["loss"] == pytest.approx(-(math.log(0.5) + math.log(0.75)) / 2)
     assert rows.where("false").agg(metrics.mean_score(F.col("y")).alias("m")).first()["m"] is None
+
+
+def test_to_places(spark):
+    for x, places, expected in [(1.23456, 2, 1.23), (-1.005, 1, -1.0), (0.1 + 0.2, 6, 0.3), (2.5, 0, 2.0)]:
+        assert one(spark, to_places(F.lit(x), places)) == expected

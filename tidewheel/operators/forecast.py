@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.arrays import bind
+from tidewheel.functions.rounding import to_places
 
 GRID_SIDE = 39
 MIN_POINTS = 3
@@ -71,7 +72,7 @@ def css_forecast(ys: Column) -> Column:
         return bind(
             F.aggregate(ws, start, advance),
             lambda end: F.struct(
-                F.round(end["sse"], 4).alias("sse"),
+                to_places(end["sse"], 4).alias("sse"),
                 phi.alias("phi"),
                 theta.alias("theta"),
                 (phi * end["w"] + theta * end["e"]).alias("step"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.arrays import logspace as logspace_values
 from tidewheel.functions.arrays import mean_list, minmax_list, total
+from tidewheel.functions.rounding import to_places
 from tidewheel.operators import ordering, reshape
 from tidewheel.operators.skew import spread
 from tidewheel.plans.registry import normal_sql, query, uniform_sql
@@ -153,7 +154,7 @@ def gen_walks(spark: SparkSession, folder: str) -> DataFrame:
     drift = F.lit(0.1) * F.col("s_nationkey")
     keys = spread(load(spark, folder, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
     walks = generators.generate_walks(keys, "s_suppkey", 100, drift)
-    return walks.withColumn("y", F.round("y", 6))
+    return walks.withColumn("y", to_places("y", 6))
 
 
 _FEATURES = [f"f{j}" for j in range(10)]
@@ -174,7 +175,7 @@ _FEATURES = [f"f{j}" for j in range(10)]
 def gen_regression(spark: SparkSession, folder: str) -> DataFrame:
     keys = spread(load(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
     rows = generators.generate_regression(keys, "o_orderkey", 10)
-    return rows.withColumns({name: F.round(name, 6) for name in [*_FEATURES, "y"]})
+    return rows.withColumns({name: to_places(name, 6) for name in [*_FEATURES, "y"]})
 
 
 @query(
@@ -253,7 +254,7 @@ def results_map(spark: SparkSession, folder: str) -> DataFrame:
 def running_sum(spark: SparkSession, folder: str) -> DataFrame:
     events = load(spark, folder, "events").select("event_id", "user_id", "value")
     summed = ordering.running_sum(events, ["user_id"], ["event_id"], "value")
-    return summed.select("event_id", "user_id", F.round("running_sum", 4).alias("running_sum"))
+    return summed.select("event_id", "user_id", to_places("running_sum", 4).alias("running_sum"))
 
 
 @query(
@@ -267,7 +268,7 @@ def difference(spark: SparkSession, folder: str) -> DataFrame:
     once = ordering.difference(events, ["user_id"], ["event_id"], "value", 1, "d1")
     twice = ordering.difference(once, ["user_id"], ["event_id"], "d1", 1, "d2")
     return twice.select(
-        "event_id", "user_id", F.round("d1", 4).alias("d1"), F.round("d2", 4).alias("d2")
+        "event_id", "user_id", to_places("d1", 4).alias("d1"), to_places("d2", 4).alias("d2")
     )
 
 
@@ -297,7 +298,7 @@ def slice_first(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", minmax_list(F.col("embedding").cast("array<double>")).alias("xs")
     )
     first = ordering.slice_first(vectors, ["vec_id"], "xs", 5)
-    return reshape.explode_list(first, ["vec_id"], "xs").withColumn("x", F.round("x", 6))
+    return reshape.explode_list(first, ["vec_id"], "xs").withColumn("x", to_places("x", 6))
 
 
 @query(
@@ -325,7 +326,7 @@ def logspace(spark: SparkSession, folder: str) -> DataFrame:
     )
     spaced = ranges.withColumn("xs", logspace_values(F.col("low"), F.col("high"), 30))
     rows = reshape.explode_list(spaced, ["l_returnflag"], "xs")
-    return rows.withColumn("x", F.round("x", 4))
+    return rows.withColumn("x", to_places("x", 4))
 
 
 @query(
@@ -342,13 +343,13 @@ def scalar_math(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey",
         "l_partkey",
         "l_linenumber",
-        F.round(F.sin(quantity), 6).alias("sine"),
-        F.round(F.ln("l_extendedprice"), 6).alias("logarithm"),
+        to_places(F.sin(quantity), 6).alias("sine"),
+        to_places(F.ln("l_extendedprice"), 6).alias("logarithm"),
         F.abs(discount - tax).alias("distance"),
-        F.round(F.pow(quantity, F.lit(2)), 6).alias("square"),
-        F.round(F.pi() * tax, 6).alias("angle"),
+        to_places(F.pow(quantity, F.lit(2)), 6).alias("square"),
+        to_places(F.pi() * tax, 6).alias("angle"),
         F.greatest(tax - F.lit(0.04), F.lit(0.0)).alias("rectified"),
-        F.round(F.try_divide(-quantity, discount), 6).alias("ratio"),
+        to_places(F.try_divide(-quantity, discount), 6).alias("ratio"),
     )
 
 
@@ -367,10 +368,10 @@ def array_funcs(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.select(
         "vec_id",
         F.size("xs").alias("n"),
-        F.round(total(F.col("xs")), 6).alias("total"),
-        F.round(mean_list(F.col("xs")), 6).alias("mean"),
-        F.round(F.element_at("xs", 1), 6).alias("first_value"),
-        F.round(total(F.slice("xs", 1, 5)), 6).alias("first_five"),
-        F.round(total(F.transform("xs", lambda x: x * x)), 6).alias("norm"),
-        F.round(total(F.zip_with("xs", places, lambda x, i: x * i)), 6).alias("moment"),
+        to_places(total(F.col("xs")), 6).alias("total"),
+        to_places(mean_list(F.col("xs")), 6).alias("mean"),
+        to_places(F.element_at("xs", 1), 6).alias("first_value"),
+        to_places(total(F.slice("xs", 1, 5)), 6).alias("first_five"),
+        to_places(total(F.transform("xs", lambda x: x * x)), 6).alias("norm"),
+        to_places(total(F.zip_with("xs", places, lambda x, i: x * i)), 6).alias("moment"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.functions.rounding import to_places
 from tidewheel.operators import forecast, tracking
 from tidewheel.plans.data import cents, load, to_second
 from tidewheel.plans.registry import query
@@ -68,7 +69,7 @@ def monthly_series(spark: SparkSession, folder: str) -> DataFrame:
 def arima_css(spark: SparkSession, folder: str) -> DataFrame:
     fitted = daily_series(spark, folder).withColumn("fit", forecast.css_forecast(F.col("ys")))
     return fitted.select(
-        "series", "fit.phi", "fit.theta", F.round("fit.forecast", 4).alias("forecast")
+        "series", "fit.phi", "fit.theta", to_places("fit.forecast", 4).alias("forecast")
     )
 
 
@@ -78,14 +79,14 @@ def arima_css(spark: SparkSession, folder: str) -> DataFrame:
 def forecast_many(spark: SparkSession, folder: str) -> DataFrame:
     lists = monthly_series(spark, folder)
     fitted = forecast.forecast_series(lists, spark.sparkContext.defaultParallelism)
-    return fitted.withColumn("forecast", F.round("forecast", 4))
+    return fitted.withColumn("forecast", to_places("forecast", 4))
 
 
 @query()
 def forecast_order(spark: SparkSession, folder: str) -> DataFrame:
     lists = monthly_series(spark, folder)
     fitted = forecast.forecast_order(lists, (2, 1, 1), spark.sparkContext.defaultParallelism)
-    return fitted.withColumn("forecast", F.round("forecast", 2))
+    return fitted.withColumn("forecast", to_places("forecast", 2))
 
 
 @query(
@@ -101,7 +102,7 @@ def forecast_logged(spark: SparkSession, folder: str) -> DataFrame:
     params = tracking.log_params(fitted.select("series"), run, {"order": F.lit(ORDER)})
     names = fitted.select(run.alias("run_id"), "series")
     metrics = tracking.log_metrics(
-        fitted, run, F.col("series"), {"forecast_value": F.round("forecast", 4)}
+        fitted, run, F.col("series"), {"forecast_value": to_places("forecast", 4)}
     )
     return (
         params.join(names, "run_id")
@@ -156,7 +157,7 @@ def run_params(spark: SparkSession, folder: str) -> DataFrame:
 )
 def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     run = tracking.run_id(EXPERIMENT, F.col("event_type"), F.col("user_id"))
-    metrics = {"total": F.col("total"), "mean": F.round(F.col("total") / F.col("n_points"), 6)}
+    metrics = {"total": F.col("total"), "mean": to_places(F.col("total") / F.col("n_points"), 6)}
     return tracking.log_metrics(_user_totals(spark, folder), run, F.col("user_id"), metrics)
 
 
@@ -195,7 +196,7 @@ def run_durations(spark: SparkSession, folder: str) -> DataFrame:
     )
     spent = tracking.run_durations(runs, "view")
     return spent.withColumns(
-        {"duration_s": F.round("duration_s", 4), "speed_up": F.round("speed_up", 6)}
+        {"duration_s": to_places("duration_s", 4), "speed_up": to_places("speed_up", 6)}
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import metrics
 from tidewheel.functions.arrays import total
+from tidewheel.functions.rounding import to_places
 from tidewheel.operators import fanout, reshape, scale
 from tidewheel.operators.trials import best_trial as best_of
 from tidewheel.plans.data import load
@@ -34,7 +35,7 @@ def values_by_user(spark: SparkSession, folder: str) -> DataFrame:
 def minmax_array(spark: SparkSession, folder: str) -> DataFrame:
     scaled = scale.minmax_array(vectors(spark, folder), "xs")
     rows = reshape.explode_list(scaled, ["vec_id"], "scaled")
-    return rows.withColumn("x", F.round("x", 6))
+    return rows.withColumn("x", to_places("x", 6))
 
 
 @query(
@@ -44,7 +45,7 @@ def minmax_array(spark: SparkSession, folder: str) -> DataFrame:
 )
 def minmax_group(spark: SparkSession, folder: str) -> DataFrame:
     scaled = scale.minmax_group(values_by_user(spark, folder), ["user_id"], "value")
-    return scaled.select("event_id", "user_id", F.round("scaled", 6).alias("scaled"))
+    return scaled.select("event_id", "user_id", to_places("scaled", 6).alias("scaled"))
 
 
 @query(
@@ -54,7 +55,7 @@ def minmax_group(spark: SparkSession, folder: str) -> DataFrame:
 )
 def zscore_group(spark: SparkSession, folder: str) -> DataFrame:
     scaled = scale.zscore_group(values_by_user(spark, folder), ["user_id"], "value")
-    return scaled.select("event_id", "user_id", F.round("scaled", 6).alias("scaled"))
+    return scaled.select("event_id", "user_id", to_places("scaled", 6).alias("scaled"))
 
 
 @query(
@@ -67,7 +68,7 @@ def zscore_group(spark: SparkSession, folder: str) -> DataFrame:
 def scale_multi(spark: SparkSession, folder: str) -> DataFrame:
     outputs = {"standard": "standard", "unit": (0.0, 1.0), "symmetric": (-1.0, 1.0)}
     scaled = scale.scale_groups(values_by_user(spark, folder), ["user_id"], "value", outputs)
-    return scaled.select("event_id", "user_id", *(F.round(n, 6).alias(n) for n in outputs))
+    return scaled.select("event_id", "user_id", *(to_places(n, 6).alias(n) for n in outputs))
 
 
 _MATRIX = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -81,13 +82,13 @@ _MATRIX = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def standardize_matrix(spark: SparkSession, folder: str) -> DataFrame:
     rows = load(spark, folder, "lineitem").select("l_orderkey", "l_partkey", *_MATRIX)
     scaled = scale.standardize_matrix(rows, _MATRIX)
-    return scaled.withColumns({name: F.round(name, 6) for name in _MATRIX})
+    return scaled.withColumns({name: to_places(name, 6) for name in _MATRIX})
 
 
 @query("SELECT user_id, round(avg(value), 6) AS score FROM events GROUP BY 1")
 def mean_score(spark: SparkSession, folder: str) -> DataFrame:
     scores = scale.mean_score(load(spark, folder, "events"), ["user_id"], "value")
-    return scores.withColumn("score", F.round("score", 6))
+    return scores.withColumn("score", to_places("score", 6))
 
 
 @query(
@@ -96,7 +97,7 @@ def mean_score(spark: SparkSession, folder: str) -> DataFrame:
 )
 def mse(spark: SparkSession, folder: str) -> DataFrame:
     error = metrics.mse(F.col("l_discount"), F.col("l_tax"))
-    return load(spark, folder, "lineitem").groupBy("l_returnflag").agg(F.round(error, 8).alias("mse"))
+    return load(spark, folder, "lineitem").groupBy("l_returnflag").agg(to_places(error, 8).alias("mse"))
 
 
 @query(
@@ -115,8 +116,8 @@ def class_metrics(spark: SparkSession, folder: str) -> DataFrame:
     predicted = F.array_position("p", F.array_max("p")) - 1
     return rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(metrics.accuracy(F.col("label"), predicted), 8).alias("accuracy"),
-        F.round(metrics.log_loss(F.col("p"), F.col("label")), 6).alias("log_loss"),
+        to_places(metrics.accuracy(F.col("label"), predicted), 8).alias("accuracy"),
+        to_places(metrics.log_loss(F.col("p"), F.col("label")), 6).alias("log_loss"),
     )
 
 
@@ -151,7 +152,7 @@ def best_trial(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT vec_id, round(list_avg(e), 6) AS score FROM {_LISTS}")
 def udf_score(spark: SparkSession, folder: str) -> DataFrame:
     score = fanout.score_lists(F.col("xs"), lambda xs: float(xs.mean()) if len(xs) else None)
-    return vectors(spark, folder).select("vec_id", F.round(score, 6).alias("score"))
+    return vectors(spark, folder).select("vec_id", to_places(score, 6).alias("score"))
 
 
 def _unit_range(xs: np.ndarray) -> np.ndarray:
@@ -164,7 +165,7 @@ def udf_scale(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", fanout.map_lists(F.col("xs"), _unit_range).alias("scaled")
     )
     rows = reshape.explode_list(scaled, ["vec_id"], "scaled")
-    return rows.withColumn("x", F.round("x", 6))
+    return rows.withColumn("x", to_places("x", 6))
 
 
 @query(
@@ -181,8 +182,8 @@ def udf_processor(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "vec_id",
         "pos",
-        F.round("pair.standard", 6).alias("standard"),
-        F.round("pair.minmax", 6).alias("minmax"),
+        to_places("pair.standard", 6).alias("standard"),
+        to_places("pair.minmax", 6).alias("minmax"),
     )
 
 
@@ -191,4 +192,4 @@ def udaf_mean(spark: SparkSession, folder: str) -> DataFrame:
     means = fanout.mean_by_batches(
         load(spark, folder, "events"), ["event_type", "user_id"], "value"
     )
-    return means.withColumn("mean", F.round("mean", 6))
+    return means.withColumn("mean", to_places("mean", 6))

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.functions.rounding import to_places
 from tidewheel.operators import fanout, search, trials
 from tidewheel.operators.skew import spread
 from tidewheel.plans.data import load
@@ -100,10 +101,10 @@ def _flat(rows: DataFrame, *more: str) -> DataFrame:
         "trial_id",
         "config.a",
         "config.b",
-        F.round("config.c", 6).alias("c"),
-        F.round("config.d", 6).alias("d"),
+        to_places("config.c", 6).alias("c"),
+        to_places("config.d", 6).alias("d"),
         "config.e",
-        *(F.round(name, 6).alias(name) for name in more),
+        *(to_places(name, 6).alias(name) for name in more),
     )
 
 
@@ -200,7 +201,7 @@ def cv_grid_tree(spark: SparkSession, folder: str) -> DataFrame:
     configs = search.as_configs(grid.withColumnRenamed("config_id", "trial_id"))
     train = search.training_rows(rows, CHARGE_FEATURES, "charge", "fold")
     scored = search.cross_validated(train, "fold", 3, configs, search.tree_spec())
-    return scored.select("trial_id", "config.*", F.round("mse", 4).alias("mse"))
+    return scored.select("trial_id", "config.*", to_places("mse", 4).alias("mse"))
 
 
 @query()
@@ -213,7 +214,7 @@ def holdout_search_tree(spark: SparkSession, folder: str) -> DataFrame:
     train = search.training_rows(rows.where(~F.col("is_test")), CHARGE_FEATURES, "charge")
     test = search.training_rows(rows.where("is_test"), CHARGE_FEATURES, "charge")
     scored = search.holdout_scored(train, test, configs, search.tree_spec())
-    return scored.select("trial_id", "config.*", F.round("mse", 4).alias("mse"))
+    return scored.select("trial_id", "config.*", to_places("mse", 4).alias("mse"))
 
 
 @query()
@@ -229,4 +230,4 @@ def cv_random_boost(spark: SparkSession, folder: str) -> DataFrame:
     configs = search.as_configs(draws.withColumnRenamed("draw", "trial_id"))
     train = search.training_rows(rows, "embedding", "class", "fold")
     scored = search.cross_validated(train, "fold", 2, configs, search.boost_spec())
-    return scored.select("trial_id", "config.*", F.round("accuracy", 4).alias("accuracy"))
+    return scored.select("trial_id", "config.*", to_places("accuracy", 4).alias("accuracy"))
