@@ -133,3 +133,28 @@ def test_holdout_scored_finds_the_deeper_tree(spark):
     test = search.training_rows(split.where("is_test"), "xs", "y")
     scored = search.holdout_scored(train, test, configs, search.tree_spec(), parallelism=2)
     assert trials.best_trial(scored, "mse").first().config.max_depth == 6
+
+
+def test_cross_validation_by_hand(spark):
+    rows = search.training_rows(trials.kfold(_table(spark), "id", 3), "xs", "y", "fold").persist()
+    config = {"max_depth": 3, "min_samples_split": 2, "min_samples_leaf": 2, "max_features": "sqrt"}
+    spec = search.tree_spec()
+    errors = []
+    for fold in range(3):
+        model = search.refit(rows.where(F.col("fold") != fold), config, spec)
+        errors.append(spec.evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold))))
+    scored = search.cross_validated(rows, "fold", 3, [config], spec).first()
+    assert scored.mse == pytest.approx(sum(errors) / 3)
+
+
+def test_boosting_learns_three_classes(spark):
+    rows = spark.range(240).select(
+        "id", (F.col("id") % 3).cast("int").alias("class"),
+        F.array((F.col("id") % 3).cast("double"), (F.col("id") % 5).cast("double")).alias("xs"),
+    )
+    rows = trials.kfold_stratified(rows, "class", "id", 2)
+    config = {
+        "n_estimators": 2, "learning_rate": 0.5, "max_depth": 2, "subsample": 1.0, "colsample_bytree": 1.0
+    }
+    train = search.training_rows(rows, "xs", "class", "fold")
+    assert search.cross_validated(train, "fold", 2, [config], search.boost_spec()).first().accuracy == 1

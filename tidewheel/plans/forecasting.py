@@ -89,6 +89,20 @@ def forecast_order(spark: SparkSession, folder: str) -> DataFrame:
     return fitted.withColumn("forecast", to_places("forecast", 2))
 
 
+@query(
+    f"""SELECT series, round(ys[-1] + phi*ws[-1], 2) AS forecast, 'ok' AS status
+    FROM (SELECT series, ys, ws, list_dot_product(ws[2:], ws[:-2]) / list_dot_product(ws[:-2], ws[:-2])
+        AS phi
+      FROM (SELECT series, ys, list_transform(range(2, len(ys)+1), lambda i: ys[i]-ys[i-1]) AS ws
+        FROM (SELECT series, list(y ORDER BY period) AS ys FROM {_MONTHLY_SQL} GROUP BY 1)))"""
+)
+def forecast_order_ar(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (1, 1, 0), whose fit is a ratio of sums."""
+    lists = monthly_series(spark, folder)
+    fitted = forecast.forecast_order(lists, (1, 1, 0), spark.sparkContext.defaultParallelism)
+    return fitted.withColumn("forecast", to_places("forecast", 2))
+
+
 @query(
     f"""WITH fits AS (SELECT md5('{EXPERIMENT}/'||series) AS run_id, * FROM {_css_sql(_DAILY_SQL)})
     SELECT run_id, series, 'param' AS kind, 'order' AS key, '{ORDER}' AS text_value,
