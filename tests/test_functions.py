@@ -113,5 +113,5 @@ def test_metrics(spark):
 
 
 def test_to_places(spark):
-    for x, places, expected in [(1.23456, 2, 1.23), (-1.005, 1, -1.0), (0.1 + 0.2, 6, 0.3), (2.5, 0, 2.0)]:
+    for x, places, expected in [(1.23456, 2, 1.23), (-1.005, 1, -1.0), (0.0, 3, 0.0), (0.1 + 0.2, 6, 0.3), (2.5, 0, 3.0), (-2.5, 0, -3.0), (3e20, 4, 3e20)]:
         assert one(spark, to_places(F.lit(x), places)) == expected

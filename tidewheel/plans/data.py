@@ -107,9 +107,16 @@ def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     " UNION ALL ".join(
         f"""SELECT '{name}' AS column_name, count(*) AS n_rows,
-          count(*) - count({name}) AS n_nulls, min({name})::VARCHAR AS min_value,
-          max({name})::VARCHAR AS max_value FROM events"""
-        for name in ("event_id", "ts", "user_id", "event_type", "value", "props")
+          count(*) - count({name}) AS n_nulls, min({value})::VARCHAR AS min_value,
+          max({value})::VARCHAR AS max_value FROM events"""
+        for name, value in (
+            ("event_id", "event_id"),
+            ("ts", "ts"),
+            ("user_id", "user_id"),
+            ("event_type", "event_type"),
+            ("value", "value + 0.0::DOUBLE"),
+            ("props", "props"),
+        )
     )
 )
 def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:

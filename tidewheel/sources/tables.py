@@ -75,10 +75,12 @@ def summary(df: DataFrame) -> DataFrame:
     kinds = dict(df.dtypes)
     measures = []
     for name in df.columns:
+        # Adding zero turns the equal value -0.0 into 0.0.
+        value = F.col(name) + F.lit(0.0) if kinds[name] in ("double", "float") else F.col(name)
         measures += [
             F.count(name).alias(f"present_{name}"),
-            F.min(name).cast("string").alias(f"min_{name}"),
-            F.max(name).cast("string").alias(f"max_{name}"),
+            F.min(value).cast("string").alias(f"min_{name}"),
+            F.max(value).cast("string").alias(f"max_{name}"),
         ]
     row = df.agg(F.count(F.lit(1)).alias("rows"), *measures)
     entries = [_summary_entry(name, kinds[name]) for name in df.columns]
