@@ -67,3 +67,33 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Reco
 
 def schema_of(*fields: tuple[str, str]) -> T.StructType:
     return T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields])
+
+
+_CODEC = pa.Codec("zstd", compression_level=3)
+
+
+def _pack(text: str | None) -> tuple[int, bytes]:
+    raw = (text or "").encode("utf-8", "replace")
+    return len(raw), _CODEC.compress(raw, asbytes=True)
+
+
+def packed_texts(texts: DataFrame, id_col: str) -> DataFrame:
+    """(id, size, packed) of (id, text): UTF-8 bytes, compressed for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_blocks(batch):
+                packs = [_pack(text) for text in block.column("text").to_pylist()]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        id_col: block.column(id_col),
+                        "size": pa.array([size for size, _ in packs], pa.int64()),
+                        "packed": pa.array([packed for _, packed in packs], pa.binary()),
+                    }
+                )
+
+    return texts.select(id_col, "text").mapInArrow(run, f"{id_col} long, size long, packed binary")
+
+
+def unpack(packed: bytes, size: int) -> bytes:
+    return _CODEC.decompress(packed, size, asbytes=True) if size else b""

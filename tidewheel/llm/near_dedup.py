@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import staged, text_blocks
+from tidewheel.llm.common import packed_texts, staged, text_blocks, unpack
 from tidewheel.llm.embedding_dedup import _stars
 from tidewheel.llm.graph import components
 
@@ -240,17 +240,13 @@ def confirm(
 
 
 def confirmed_links(texts: DataFrame, plan: DataFrame, size: int, percent: int) -> DataFrame:
-    """(u, v): star edges of confirmed links. ``texts`` has (node, text) of all members."""
+    """(u, v): star edges of confirmed links. ``texts`` has the packed texts of all members."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in text_blocks(batch):
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "node": block.column("node"),
-                        "items": pa.array([shingles(t, size).tobytes() for t in block.column("text").to_pylist()], pa.binary()),
-                    }
-                )
+            texts = zip(batch.column("packed").to_pylist(), batch.column("size").to_pylist(), strict=True)
+            items = [shingles(unpack(*text).decode(), size).tobytes() for text in texts]
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "items": pa.array(items, pa.binary())})
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node", ignore_index=True)
@@ -288,7 +284,8 @@ def near_duplicates(
     sized = nodes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch"))
     plan = staged(tasks(families.join(sized, "node"), percent / 100), "families")
     wanted = plan.select("node").distinct()
-    texts = source.withColumnRenamed("doc_id", "node").join(wanted, "node")
+    # the members grow with the documents, so they are not broadcast at any size
+    texts = packed_texts(source.withColumnRenamed("doc_id", "node"), "node").join(wanted.hint("merge"), "node")
     same_id = nodes.join(rows.where("key is not null").select("key", "doc_id"), "key").where("node <> doc_id")
     repeated = rows.where("key is not null").groupBy("doc_id").agg(F.count_distinct("key").alias("n")).where("n > 1")
     through_id = same_id.join(repeated.select("doc_id"), "doc_id").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
