@@ -330,8 +330,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     """Learns lexicon and weights from labelled rows outside the held-out fifth.
 
     ``train_rows`` bounds the sample; texts that repeat count once, so that a group
-    of copies cannot turn its own words into terms. Without both classes the
-    lexicon is empty and every score is the share of toxic labels.
+    of copies cannot turn its own words into terms. Without both classes, or without
+    a term that tells them apart, every score is the share of toxic labels, at most
+    0.49: nothing speaks against any document.
     """
     marks = (
         labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -349,11 +350,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     )
     sizes = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    share = min(0.49, (toxic + 0.5) / (clean + toxic + 1.0))
+    none = np.zeros(FEATURES)
+    blank = Model(Lexicon({}), np.array([math.log(share / (1 - share)), *none]), none, none + 1)
     if not clean or not toxic:
-        share = (toxic + 0.5) / (clean + toxic + 1.0)
-        none = np.zeros(FEATURES)
         rows.unpersist()
-        return Model(Lexicon({}), np.array([math.log(share / (1 - share)), *none]), none, none + 1)
+        return blank
+
     def counted(kind: int, known: frozenset[str] | None, least: int) -> dict[str, int]:
         part = rows.where(F.col("toxic") == kind).select("text")
         sums = part.mapInArrow(_front_counts(known), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -362,7 +365,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     bad = counted(1, None, least_docs(toxic))
     good = counted(0, frozenset(bad), 1)
     counts = [(term, good.get(term, 0), n) for term, n in bad.items()]
-    lexicon = Lexicon(learn_terms(counts, clean, toxic))
+    terms = learn_terms(counts, clean, toxic)
+    if not terms:
+        rows.unpersist()
+        return blank
+    lexicon = Lexicon(terms)
     table = rows.mapInArrow(_measured(lexicon), "features array<double>, toxic int").collect()
     rows.unpersist()
     x = np.array([row["features"] for row in table])
