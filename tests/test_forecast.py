@@ -75,3 +75,17 @@ def test_differences_alone_extend_a_line(spark):
     df = spark.createDataFrame([("s", [float(3 * i) for i in range(10)])], "series string, ys array<double>")
     assert forecast.forecast_order(df, (0, 2, 0)).first().forecast == 30
     assert forecast.forecast_order(df, (0, 1, 0)).first().forecast == 27
+
+
+def test_small_and_large_values_are_summed_as_they_are(spark):
+    facts = spark.createDataFrame([("a", 1, 0.004)] * 3 + [("b", 1, 1e17)], "series string, m int, v double")
+    totals = forecast.totals_by_period(facts, ["series"], F.col("m"), F.col("v"))
+    assert {r.series: r.y for r in totals.collect()} == {"a": pytest.approx(0.012), "b": 1e17}
+
+
+def test_unsettled_fits_say_so(monkeypatch):
+    y = np.cumsum(np.random.default_rng(1).normal(size=80))
+    assert forecast._order_fit(y, 2, 1, 2)["status"] == "ok"
+    monkeypatch.setattr(forecast, "MOST_STEPS", 0)
+    monkeypatch.setattr(forecast, "_start", lambda w, p, q: np.full(p + q, 0.5))
+    assert forecast._order_fit(y, 2, 1, 2)["status"] == "not converged"

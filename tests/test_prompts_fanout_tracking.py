@@ -78,6 +78,16 @@ def test_lists_by_function_and_by_expression(spark):
     assert [r.m for r in top.collect()] == [4, 5, None]
 
 
+def test_null_items_stay_null(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0],), ([None, None],), (None,)], "xs array<double>")
+    both = fanout.process_lists(F.col("xs"), ["standard", "minmax"])
+    scaled = fanout.map_lists(F.col("xs"), lambda x: fanout.ListProcessor(x).minmax())
+    rows = df.select(both.alias("both"), scaled.alias("u")).collect()
+    assert rows[0].both.standard == [-1, None, 1] and rows[0].both.minmax == rows[0].u == [0, None, 1]
+    assert rows[1].both.minmax == rows[1].u == [None, None]
+    assert rows[2].both is None and rows[2].u is None
+
+
 def test_trial_function(spark, folder):
     trials = searching.objective_trials(spark, folder)
     scored = fanout.map_trials(trials, searching.objective, ["score"], partitions=3)
@@ -91,6 +101,22 @@ def test_means_by_batches(spark):
     assert_same_rows(fanout.mean_by_batches(df.repartition(6), ["k"], "x"), expected)
 
 
+def test_means_keep_large_keys_and_nan(spark):
+    rows = [(9007199254740993, 1.0), (9007199254740992, 3.0), (None, 5.0), (1, float("nan")), (2, None)]
+    df = spark.createDataFrame(rows, "k long, x double").coalesce(1)
+    means = {r.k: r["mean"] for r in fanout.mean_by_batches(df, ["k"], "x").collect()}
+    assert np.isnan(means.pop(1))
+    assert means == {9007199254740993: 1.0, 9007199254740992: 3.0, None: 5.0, 2: None}
+
+
+def test_run_ids_differ_with_nulls_and_slashes(spark):
+    rows = [("a", None), ("a", "\\N"), ("a/b", "c"), ("a", "b/c"), ("a\\", "b"), ("a", "\\b"), (None, "a")]
+    df = spark.createDataFrame(rows, "p string, c string")
+    pair, single = tracking.run_id("e", F.col("p"), F.col("c")), tracking.run_id("e", F.col("p"))
+    ids = [x for row in df.select(pair, single).collect() for x in row]
+    assert len(set(ids)) == len(rows) + 4
+
+
 def test_run_store(spark, tmp_path):
     store = tracking.RunStore(spark, str(tmp_path))
     results = spark.createDataFrame([("a", 1.5), ("b", 2.5)], "series string, forecast double")

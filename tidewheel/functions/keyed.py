@@ -19,11 +19,22 @@ ColumnLike = Column | str
 
 def digest(tag: str | int, ids: Sequence[ColumnLike]) -> Column:
     """Hash of the key as hex text; ordering by it shuffles the keys."""
-    return F.md5(F.concat_ws(":", F.lit(str(tag)), *(_string(i) for i in ids)))
-
-
-def _string(item: ColumnLike) -> Column:
-    return (F.col(item) if isinstance(item, str) else item).cast("string")
+    return F.md5(F.concat(F.lit(f"{tag}:"), joined(":", ids)) if ids else F.lit(str(tag)))
+
+
+def joined(separator: str, ids: Sequence[ColumnLike]) -> Column:
+    """The ids as one string, which no other ids share.
+
+    Separators and backslashes within an id are escaped by a backslash, and null
+    is written as one before an ``N``; all other ids appear as they are.
+    """
+    parts = []
+    for item in ids:
+        part = (F.col(item) if isinstance(item, str) else item).cast("string")
+        for sign in ("\\", separator):
+            part = F.replace(part, F.lit(sign), F.lit("\\" + sign))
+        parts.append(F.coalesce(part, F.lit("\\N")))
+    return F.concat_ws(separator, *parts)
 
 
 def keyed_uniform(tag: str | int, *ids: ColumnLike) -> Column:

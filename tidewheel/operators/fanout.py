@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +19,15 @@ def _items(column: pa.Array) -> Iterator[np.ndarray | None]:
         yield item.values.to_numpy(zero_copy_only=False) if item.is_valid else None
 
 
+def _with_nulls(found: Sequence[float], given: pa.ListScalar) -> Sequence[float | None]:
+    """``found`` with null where the given list of the same length has a null item."""
+    if not given.values.null_count or len(found) != len(given.values):
+        return found
+    return [x if known else None for x, known in zip(found, given.values.is_valid().to_pylist(), strict=True)]
+
+
 def score_lists(array: Column, score: Callable[[np.ndarray], float | None]) -> Column:
-    """One number per list."""
+    """One number per list; null items reach ``score`` as NaN."""
 
     @F.arrow_udf("double")
     def apply(lists: pa.Array) -> pa.Array:
@@ -31,47 +37,56 @@ def score_lists(array: Column, score: Callable[[np.ndarray], float | None]) -> C
 
 
 def map_lists(array: Column, change: Callable[[np.ndarray], Sequence[float]]) -> Column:
-    """One list per list."""
+    """One list per list; null items reach ``change`` as NaN and come back as null."""
 
     @F.arrow_udf("array<double>")
     def apply(lists: pa.Array) -> pa.Array:
         return pa.array(
-            [None if x is None else change(x) for x in _items(lists)], pa.list_(pa.float64())
+            [
+                None if x is None else _with_nulls(change(x), given)
+                for x, given in zip(_items(lists), lists, strict=True)
+            ],
+            pa.list_(pa.float64()),
         )
 
     return apply(array)
 
 
 class ListProcessor:
-    """Holds one list and scales it on request."""
+    """Holds one list and scales it on request; NaN items take no part."""
 
     def __init__(self, data: np.ndarray) -> None:
         self.data = data
 
     def standard(self) -> np.ndarray:
-        deviation = self.data.std()
-        centred = self.data - self.data.mean()
-        return centred / deviation if deviation > 0 else np.zeros(len(self.data))
+        known = self.data[~np.isnan(self.data)]
+        deviation = known.std() if len(known) else 0.0
+        return (self.data - known.mean()) / deviation if deviation > 0 else np.zeros(len(self.data))
 
     def minmax(self) -> np.ndarray:
-        low, high = self.data.min(), self.data.max()
+        known = self.data[~np.isnan(self.data)]
+        low, high = (known.min(), known.max()) if len(known) else (0.0, 0.0)
         return (self.data - low) / (high - low) if high > low else np.zeros(len(self.data))
 
 
 def process_lists(
     array: Column, methods: Sequence[str], processor: type = ListProcessor
 ) -> Column:
-    """One processor per list, several of its methods called; a struct of their results."""
+    """One processor per list, several of its methods called; a struct of their results.
+
+    Null items reach the processor as NaN and come back as null.
+    """
     result = ", ".join(f"{method} array<double>" for method in methods)
     kind = pa.struct([(method, pa.list_(pa.float64())) for method in methods])
 
-    def run(x: np.ndarray) -> dict:
+    def run(x: np.ndarray, given: pa.ListScalar) -> dict:
         held = processor(x)
-        return {method: getattr(held, method)() for method in methods}
+        return {method: _with_nulls(getattr(held, method)(), given) for method in methods}
 
     @F.arrow_udf(result)
     def apply(lists: pa.Array) -> pa.Array:
-        return pa.array([run(x) if x is not None and len(x) else None for x in _items(lists)], kind)
+        pairs = zip(_items(lists), lists, strict=True)
+        return pa.array([run(x, given) if x is not None and len(x) else None for x, given in pairs], kind)
 
     return apply(array)
 
@@ -106,13 +121,14 @@ def mean_by_batches(df: DataFrame, keys: Sequence[str], value: str, out: str = "
     fields = [df.schema[key] for key in keys]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
-    def partial(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                grouped = batch.groupby(list(keys), dropna=False)["__value"]
-                yield grouped.agg(["sum", "count"]).reset_index()
+            table = pa.Table.from_batches([batch])
+            sums = table.group_by(list(keys)).aggregate([("__value", "sum"), ("__value", "count")])
+            sums = sums.select([*keys, "__value_sum", "__value_count"])
+            yield from sums.rename_columns([*keys, "sum", "count"]).to_batches()
 
-    parts = df.select(*keys, F.col(value).cast("double").alias("__value")).mapInPandas(
+    parts = df.select(*keys, F.col(value).cast("double").alias("__value")).mapInArrow(
         partial, f"{schema}, `sum` double, `count` bigint"
     )
     return parts.groupBy(*keys).agg(F.try_divide(F.sum("sum"), F.sum("count")).alias(out))

@@ -20,15 +20,24 @@ from tidewheel.functions.arrays import bind
 
 GRID_SIDE = 39
 MIN_POINTS = 3
+MOST_STEPS = 50
 
 
 def totals_by_period(
-    df: DataFrame, series: Sequence[str], period: Column, value: Column, out: str = "y"
+    df: DataFrame,
+    series: Sequence[str],
+    period: Column,
+    value: Column,
+    out: str = "y",
+    exact: str | None = None,
 ) -> DataFrame:
-    """Exact sum of ``value`` per series and period; decimals make it order-free."""
-    return df.groupBy(*series, period.alias("period")).agg(
-        F.sum(value.cast("decimal(18,2)")).cast("double").alias(out)
-    )
+    """Sum of ``value`` per series and period.
+
+    ``exact`` names a decimal type to add up in, for values known to fit it: such
+    sums do not depend on the order of the rows.
+    """
+    summed = F.sum(value.cast(exact) if exact else value.cast("double"))
+    return df.groupBy(*series, period.alias("period")).agg(summed.cast("double").alias(out))
 
 
 def series_lists(
@@ -176,10 +185,11 @@ def _order_fit(y: np.ndarray, p: int, d: int, q: int) -> dict:
         return {"forecast": None, "status": "too short"}
     w = np.diff(y, d)
     params = np.zeros(0)
+    settled = p + q == 0
     if p + q:
         params = _start(w, p, q)
         e, slopes = _residuals(w, params[:p], params[p:])
-        for _ in range(50):
+        for _ in range(MOST_STEPS):
             move = np.linalg.lstsq(slopes, -e, rcond=None)[0]
             for shrink in 0.5 ** np.arange(12):
                 trial = params + shrink * move
@@ -187,6 +197,7 @@ def _order_fit(y: np.ndarray, p: int, d: int, q: int) -> dict:
                 if np.isfinite(tried).all() and tried @ tried < e @ e:
                     break
             else:
+                settled = True  # no step in this direction is better
                 break
             settled = e @ e - tried @ tried < 1e-10 * (e @ e)
             params, e, slopes = trial, tried, tried_slopes
@@ -199,7 +210,7 @@ def _order_fit(y: np.ndarray, p: int, d: int, q: int) -> dict:
     forecast = float(ahead + level)
     if not np.isfinite(forecast):
         return {"forecast": None, "status": "diverged"}
-    return {"forecast": forecast, "status": "ok"}
+    return {"forecast": forecast, "status": "ok" if settled else "not converged"}
 
 
 def forecast_order(

@@ -42,6 +42,7 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
         ["series"],
         F.to_date("ts"),
         F.col("value"),
+        exact="decimal(18,2)",
     )
     return forecast.series_lists(totals, ["series"])
 
@@ -59,6 +60,7 @@ def monthly_series(spark: SparkSession, folder: str) -> DataFrame:
         ["series"],
         F.trunc(F.col("l_shipdate").cast("date"), "month"),
         F.col("l_extendedprice"),
+        exact="decimal(18,2)",
     )
     return forecast.series_lists(totals, ["series"])
 
