@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,10 +69,46 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Reco
         yield batch.slice(start)
 
 
+def put(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The batch with ``columns`` set as ``DataFrame.withColumns`` sets them: an input
+    column of the same name, in either case, is replaced; others are appended."""
+    names, arrays = batch.schema.names, list(batch.columns)
+    for name, array in columns.items():
+        found = [i for i, old in enumerate(names) if old.lower() == name.lower()]
+        for i in found:
+            names[i], arrays[i] = name, array
+        if not found:
+            names.append(name)
+            arrays.append(array)
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
+def schema_with(df: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of ``df`` after ``put`` of columns of these kinds."""
+    return df.withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()}).schema
+
+
 def schema_of(*fields: tuple[str, str]) -> T.StructType:
     return T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields])
 
 
+def send_file(spark: SparkSession, content: bytes, suffix: str) -> str:
+    """Makes ``content`` a file of the application, which Spark fetches to any
+    executor that runs a task, also to one that joins later; returns its name."""
+    name = f"{uuid.uuid4().hex}{suffix}"
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewheel-"), name)
+    with open(path, "wb") as file:
+        file.write(content)
+    spark.sparkContext.addFile(path)
+    return name
+
+
+def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For groups of these sizes: the group of each member, and its place in the group."""
+    group = np.repeat(np.arange(len(counts)), counts)
+    return group, np.arange(len(group)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 _CODEC = pa.Codec("zstd", compression_level=3)
 
 
@@ -95,5 +135,16 @@ def packed_texts(texts: DataFrame, id_col: str) -> DataFrame:
     return texts.select(id_col, "text").mapInArrow(run, f"{id_col} long, size long, packed binary")
 
 
+def packed_numbers(values: np.ndarray) -> bytes:
+    """Numbers from 0 to 2^32 - 1, compressed."""
+    raw = np.ascontiguousarray(values, "<u4").tobytes()
+    return len(values).to_bytes(4, "little") + _CODEC.compress(raw, asbytes=True)
+
+
+def unpacked_numbers(packed: bytes) -> np.ndarray:
+    size = int.from_bytes(packed[:4], "little")
+    return np.frombuffer(_CODEC.decompress(packed[4:], 4 * size, asbytes=True) if size else b"", "<u4").astype(np.int64)
+
+
 def unpack(packed: bytes, size: int) -> bytes:
     return _CODEC.decompress(packed, size, asbytes=True) if size else b""

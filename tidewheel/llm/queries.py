@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import (
+    alignment,
+    cleaning,
     embedding_dedup,
     language,
     mixing,
     near_dedup,
     quality,
+    runs,
     secrets,
     substrings,
     tokens,
@@ -40,10 +44,10 @@ def query(sql: str | None = None):
     return register
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query()
@@ -207,3 +211,100 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def repeat_tail(words: list[bytes], row: dict) -> list[bytes]:
+    """Of one row in ten, by its id, the words from a place on repeat a few of them;
+    rows without an id stay as they are."""
+    if row["doc_id"] is None or not words:
+        return words
+    mark = zlib.crc32(str(row["doc_id"]).encode())
+    if mark % 10:
+        return words
+    group, n = mark // 10, len(words)
+    at = group % n
+    period = 1 + (n - at) // (3 + group % 8)
+    return words[:at] + [words[at + i % period] for i in range(n - at)]
+
+
+@query()
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(documents(spark, sf_dir).select("doc_id", "text"), change=repeat_tail)
+    key = F.transform("runs", lambda x: F.struct(x["length"].alias("n"), (-x["start"]).alias("a"), (-x["period"]).alias("b")))
+    longest = found.withColumn("longest", F.array_max(key))
+    length, period = F.col("longest.n"), -F.col("longest.b")
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.a")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS text,
+             coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+      FROM documents),
+    l AS (
+      SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS pos
+      FROM d),
+    c AS (
+      SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+             row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS seen,
+             len(regexp_extract_all(line, '[|›»•·]')) AS separators,
+             length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols,
+             length(regexp_replace(line, '[^A-Z]', '', 'g')) AS capitals,
+             length(regexp_replace(line, '[^a-z]', '', 'g')) AS small
+      FROM l),
+    f AS (
+      SELECT doc_id, words, seen, CASE
+        WHEN separators >= 2 AND 4 * separators >= words THEN 'navigation'
+        WHEN 2 * symbols > words OR (capitals >= 20 AND capitals > small) OR (words <= 20 AND (seen
+          OR regexp_matches(lower(line), 'cookie|javascript|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|sign in|log in|subscribe|click here|read more|share this|skip to content')))
+          THEN 'boilerplate'
+        WHEN NOT regexp_matches(line, '[.!?:;…]["''”’»)\]}*_]*[\x20\x09-\x0D]*$')
+          AND NOT regexp_matches(line, '[.!?…][\x20\x09-\x0D]') THEN 'punctuation'
+        ELSE 'none' END AS fault
+      FROM c WHERE words > 0),
+    s AS (
+      SELECT doc_id, count(*) FILTER (seen) AS n_dup_lines,
+             coalesce(sum(words) FILTER (fault = 'none'), 0)::BIGINT AS n_kept_words
+      FROM f GROUP BY doc_id),
+    w AS (
+      SELECT doc_id, unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS five,
+             unnest(range(1, len(words) - 3)) AS i
+      FROM d WHERE len(words) > 4),
+    t AS (SELECT *, count(*) OVER (PARTITION BY doc_id, five) AS times FROM w),
+    r AS (
+      SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+      FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM t WHERE times > 1) GROUP BY doc_id),
+    a AS (
+      SELECT doc_id, len(words)::BIGINT AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             coalesce(n_kept_words, 0)::BIGINT AS n_kept_words
+      FROM d LEFT JOIN s USING (doc_id) LEFT JOIN r USING (doc_id)),
+    b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
+    SELECT *, NOT base_failed AND 100 * n_kept_words >= 70 * n_words AS kept FROM b
+    """
+)
+def op12_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = cleaning.clean_documents(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_kept_words"]
+    return cleaned.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return found.drop("groups")
