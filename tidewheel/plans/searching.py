@@ -7,8 +7,9 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.functions import metrics
 from tidewheel.functions.rounding import to_places
-from tidewheel.operators import fanout, search, trials
+from tidewheel.operators import fanout, search, trees, trials
 from tidewheel.operators.skew import spread
 from tidewheel.plans.data import load
 from tidewheel.plans.registry import digest_sql, double, query, rank_sql, uniform_sql
@@ -181,40 +182,117 @@ def charges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _tree_rows(spark: SparkSession, folder: str) -> DataFrame:
-    split = trials.holdout_split(charges(spark, folder), "row_key")
-    return trials.kfold(split, "row_key", 3)
+FOLDS = 5
+BINS = 32
+
+
+def tree_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Training rows in five folds, and test rows, with their features in bins."""
+    rows = trees.binned(charges(spark, folder), CHARGE_FEATURES, "charge", BINS, "row_key")
+    split = trials.kfold(trials.holdout_split(rows, "row_key"), "row_key", FOLDS).drop("row_key")
+    return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").select("bins", "y", F.lit(FOLDS).alias("fold"))
+
+
+def searched(
+    spark: SparkSession, folder: str, drawn: DataFrame, folds: int, judged: bool
+) -> DataFrame:
+    """The configs (trial_id, config) with ``mse``, and with ``test_mse`` if ``judged``:
+    the error on the test rows of a tree on all training rows."""
+    train, test = tree_tables(spark, folder)
+    configs = search.as_configs(drawn)
+    found = trees.search(train, configs, len(CHARGE_FEATURES), BINS, folds, test if judged else None)
+    rows = [
+        (i, *config.values(), metric, refit)
+        for i, (config, metric, refit) in enumerate(zip(configs, found.metrics, found.refit, strict=True))
+    ]
+    kinds = "max_depth int, min_samples_split int, min_samples_leaf int, max_features string"
+    return spark.createDataFrame(rows, f"trial_id int, {kinds}, mse double, test_mse double")
+
+
+def _grid(spark: SparkSession, **axes: trials.GridAxis) -> DataFrame:
+    one_search = spark.range(1).withColumnRenamed("id", "search_id")
+    return trials.grid_configs(one_search, "search_id", search.TREE_GRID | axes).withColumnRenamed("config_id", "trial_id")
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    """With the score that is the better the higher it is."""
+    return rows.withColumn("score", metrics.negated(F.col("mse")))
 
 
 @query()
 def cv_grid_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """Grid search of a tree by cross-validation on the training rows, smaller axes."""
-    rows = _tree_rows(spark, folder).where(~F.col("is_test"))
-    space = {
-        "max_depth": trials.GridAxis((2, 6)),
-        "min_samples_split": trials.GridAxis((2, 20)),
-        "min_samples_leaf": trials.GridAxis((1, 10)),
-        "max_features": trials.GridAxis(("sqrt",)),
-    }
+    """The whole grid by cross-validation on the training rows: 420 configs in 5 folds."""
+    scored = _scored(searched(spark, folder, _grid(spark), FOLDS, judged=False)).drop("test_mse")
+    return scored.withColumns({name: to_places(name, 4) for name in ("mse", "score")})
+
+
+@query()
+def cv_grid_best(spark: SparkSession, folder: str) -> DataFrame:
+    """The config of the highest score in that search, fitted again on all training rows, with
+    its error on the test rows."""
+    best = trials.best_trial(_scored(searched(spark, folder, _grid(spark), FOLDS, judged=True)), "score", "max")
+    return best.withColumns({name: to_places(name, 4) for name in ("mse", "test_mse", "score")})
+
+
+_STUMP_VALUES = search.TREE_VALUES | {"max_depth": (1,)}
+
+
+@query(
+    f"""WITH charges AS (SELECT {', '.join(CHARGE_FEATURES)},
+        l_extendedprice * (1 - l_discount) * (1 + l_tax) / 1000 AS y,
+        l_orderkey||'-'||l_partkey||'-'||l_suppkey||'-'||l_linenumber AS row_key FROM lineitem),
+      ends AS (SELECT {', '.join(f'min({c}) AS low_{c}, max({c}) AS high_{c}' for c in CHARGE_FEATURES)} FROM charges),
+      train AS (SELECT row_number() OVER () AS id, y, floor({uniform_sql('42:fold', 'row_key')} * {FOLDS})::INT AS fold,
+        [{', '.join(f'least({BINS - 1}, floor(({c} - low_{c}) / (high_{c} - low_{c}) * {BINS}))::INT' for c in CHARGE_FEATURES)}] AS bins
+        FROM charges, ends WHERE {uniform_sql('42', 'row_key')} >= 0.2::DOUBLE),
+      tried AS (SELECT f FROM (SELECT f, row_number() OVER (ORDER BY {uniform_sql('42:split', '1', 'f')}, f) AS place
+        FROM range({len(CHARGE_FEATURES)}) r(f)) WHERE place <= 2),
+      long AS (SELECT id, y, fold, f, bins[f + 1] AS bin FROM train, tried),
+      cells AS (SELECT k, f, bin, count(*) AS n, sum(y) AS s FROM long, range({FOLDS}) r(k)
+        WHERE fold <> k GROUP BY ALL),
+      sides AS (SELECT k, f, bin, sum(n) OVER upto AS n1, sum(s) OVER upto AS s1,
+          sum(n) OVER whole AS n, sum(s) OVER whole AS s
+        FROM cells WINDOW whole AS (PARTITION BY k, f),
+          upto AS (PARTITION BY k, f ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+      splits AS (SELECT *, s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) - s * s / n AS gain
+        FROM sides, (SELECT unnest({list(search.TREE_VALUES['min_samples_leaf'])}) AS leaf)
+        WHERE n1 >= leaf AND n - n1 >= leaf AND n > n1),
+      best AS (SELECT * FROM splits
+        QUALIFY row_number() OVER (PARTITION BY k, leaf ORDER BY gain DESC, f, bin) = 1),
+      errors AS (SELECT leaf, k, avg(pow(CASE WHEN l.bin <= b.bin THEN s1 / n1
+          ELSE (s - s1) / (n - n1) END - y, 2)) AS mse
+        FROM best b JOIN long l ON l.fold = b.k AND l.f = b.f GROUP BY ALL),
+      means AS (SELECT leaf, avg(mse) AS mse FROM errors GROUP BY leaf),
+      grid AS (SELECT i::INT AS trial_id, {_grid_columns_sql(_STUMP_VALUES, 'i')}
+        FROM range({math.prod(map(len, _STUMP_VALUES.values()))}) r(i))
+    SELECT trial_id, max_depth, min_samples_split, min_samples_leaf, max_features,
+      round(mse, 4) AS mse, round(-mse, 4) AS score
+    FROM grid JOIN means ON min_samples_leaf = leaf"""
+)
+def cv_grid_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """The grid of that search at depth one: 60 configs in 5 folds."""
+    grid = _grid(spark, max_depth=trials.GridAxis((1,)))
+    scored = _scored(searched(spark, folder, grid, FOLDS, judged=False)).drop("test_mse")
+    return scored.withColumns({name: to_places(name, 4) for name in ("mse", "score")})
+
+
+def _drawn(spark: SparkSession) -> DataFrame:
     one_search = spark.range(1).withColumnRenamed("id", "search_id")
-    grid = trials.grid_configs(one_search, "search_id", space)
-    configs = search.as_configs(grid.withColumnRenamed("config_id", "trial_id"))
-    train = search.training_rows(rows, CHARGE_FEATURES, "charge", "fold")
-    scored = search.cross_validated(train, "fold", 3, configs, search.tree_spec())
-    return scored.select("trial_id", "config.*", to_places("mse", 4).alias("mse"))
+    return trials.sample_choice(one_search, "search_id", search.TREE_CHOICES, 210, _SEED).withColumnRenamed("draw", "trial_id")
 
 
 @query()
 def holdout_search_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """Search of a tree over independent draws, judged on the test rows."""
-    rows = _tree_rows(spark, folder)
-    one_search = spark.range(1).withColumnRenamed("id", "search_id")
-    draws = trials.sample_choice(one_search, "search_id", search.TREE_CHOICES, 6, _SEED)
-    configs = search.as_configs(draws.withColumnRenamed("draw", "trial_id"))
-    train = search.training_rows(rows.where(~F.col("is_test")), CHARGE_FEATURES, "charge")
-    test = search.training_rows(rows.where("is_test"), CHARGE_FEATURES, "charge")
-    scored = search.holdout_scored(train, test, configs, search.tree_spec())
-    return scored.select("trial_id", "config.*", to_places("mse", 4).alias("mse"))
+    """Search of a tree over 210 independent draws, judged on the test rows."""
+    rows = searched(spark, folder, _drawn(spark), 0, judged=True).drop("mse").withColumnRenamed("test_mse", "mse")
+    return rows.withColumn("mse", to_places("mse", 4))
+
+
+@query()
+def holdout_search_best(spark: SparkSession, folder: str) -> DataFrame:
+    """The winner of that search and its config."""
+    rows = searched(spark, folder, _drawn(spark), 0, judged=True).drop("mse").withColumnRenamed("test_mse", "mse")
+    return trials.best_trial(rows, "mse", "min").withColumn("mse", to_places("mse", 4))
 
 
 @query()
