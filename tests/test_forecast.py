@@ -89,3 +89,23 @@ def test_unsettled_fits_say_so(monkeypatch):
     monkeypatch.setattr(forecast, "MOST_STEPS", 0)
     monkeypatch.setattr(forecast, "_start", lambda w, p, q: np.full(p + q, 0.5))
     assert forecast._order_fit(y, 2, 1, 2)["status"] == "not converged"
+
+
+def test_gaps_in_a_calendar_are_zero(spark):
+    rows = [("a", "2024-01-01", 1.5), ("a", "2024-01-04", 2.0), ("a", "2024-01-04", 1.0), ("b", "2024-03-01", 7.0)]
+    facts = spark.createDataFrame(rows, "s string, d string, v double").withColumn("d", F.to_date("d"))
+    totals = forecast.totals_by_period(facts, ["s"], F.col("d"), F.col("v"), every="1 day")
+    lists = {r.s: r.ys for r in forecast.series_lists(totals, ["s"]).collect()}
+    assert lists == {"a": [1.5, 0.0, 0.0, 3.0], "b": [7.0]}
+    months = forecast.totals_by_period(facts, [], F.trunc("d", "month"), F.col("v"), every="1 month")
+    assert [r.y for r in months.orderBy("period").collect()] == [4.5, 0.0, 7.0]
+
+
+def test_series_fitted_together_and_alone():
+    rng = np.random.default_rng(7)
+    lists = [rng.normal(size=n).cumsum() for n in rng.integers(0, 40, 200)]
+    for one, many in zip(map(forecast._css_fit, lists), forecast._css_fits(lists), strict=True):
+        assert (one is None) == (many is None)
+        if one:
+            assert (one["phi"], one["theta"]) == (many["phi"], many["theta"])
+            assert one["forecast"] == pytest.approx(many["forecast"], rel=1e-12)

@@ -8,8 +8,8 @@ from tests.helpers import assert_same_rows, plan_of, rounded
 from tidewheel.operators import ordering
 from tidewheel.operators.ordering import Layout
 
-TINY = Layout(hot_share=0.05, hot_rows=50, rows_per_chunk=125)
-MANY = Layout(hot_share=1e-6, hot_rows=10, rows_per_chunk=50)
+TINY = Layout(rows_per_chunk=125)
+MANY = Layout(rows_per_chunk=7)
 
 
 @pytest.fixture(scope="module")
@@ -20,13 +20,16 @@ def rows(spark):
     a = F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 40 * 100)
     value = F.when(F.col("id") % 13 == 0, None).otherwise((F.col("id") * 7919) % 1000 / 8)
     df = ids.select("id", key.cast("bigint").alias("k"), a.alias("a"), value.alias("x"))
-    return df.withColumn("b", (F.col("id") * 31) % 2000).repartition(5).persist()
+    name = F.concat(F.lit("é"), (F.col("id") * 17 % 50).cast("string"))
+    at = F.timestamp_seconds(F.col("id") * 977 % 400)
+    df = df.withColumns({"b": (F.col("id") * 31) % 2000, "name": name, "at": at})
+    return df.withColumn("label", F.when(F.col("k").isNotNull(), F.concat(F.lit("g"), "k"))).repartition(5).persist()
 
 
 @pytest.mark.parametrize(
-    ("keys", "layout"), [(["k"], TINY), (["k"], MANY), (["k"], Layout()), ([], TINY), ([], MANY)]
+    ("keys", "layout"), [(["k"], TINY), (["k"], Layout()), (["label", "a"], MANY), ([], TINY)]
 )
-@pytest.mark.parametrize("order", [["id"], ["a", "b"]])
+@pytest.mark.parametrize("order", [["id"], ["a", "b"], ["name", "id"], ["at", "id"], ["name", "at", "id"]])
 def test_matches_plain_windows(rows, keys, layout, order):
     window = Window.partitionBy(*keys).orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -52,18 +55,29 @@ def test_second_difference(rows):
     assert_same_rows(rounded(moved), rounded(expected))
 
 
-def test_hot_group_is_cut_into_even_chunks(rows):
+def test_chunks_are_even_and_few_groups_are_cut(rows):
     chunks = ordering._chunked(rows, ["k"], ["id"], TINY)
     assert chunks.cut
-    sizes = chunks.rows.where("k = 0").groupBy("__chunk").count().toPandas()["count"]
-    assert len(sizes) >= 8 and sizes.max() <= 2 * TINY.rows_per_chunk
-    assert chunks.rows.where("k = 1").select("__chunk").distinct().count() == 1
+    sizes = chunks.rows.groupBy("__chunk").count().toPandas()["count"]
+    assert len(sizes) == 16 and sizes.max() <= TINY.rows_per_chunk + 1
+    spans = chunks.rows.groupBy("k").agg(F.count_distinct("__chunk").alias("n"), F.first("__cut").alias("cut")).collect()
+    assert all(row.cut for row in spans if row.n > 1)
+    assert sum(row.cut for row in spans) <= 15 and any(row.n > 7 for row in spans)
 
 
-def test_heavy_first_column_is_cut_by_the_second(rows):
-    chunks = ordering._chunked(rows, [], ["a", "b"], TINY)
-    sizes = chunks.rows.groupBy("__chunk").count().toPandas()["count"]
-    assert sizes.max() <= 3 * TINY.rows_per_chunk
+def test_equal_order_columns_stay_together(rows):
+    """Rows that nothing tells apart fall into one chunk."""
+    chunks = ordering._chunked(rows, [], ["a"], TINY)
+    assert chunks.rows.groupBy("a").agg(F.count_distinct("__chunk").alias("n")).where("n > 1").count() == 0
+
+
+def test_sampled_splitters(spark):
+    rows = spark.range(0, 300_000, 1, 6).selectExpr("id", "cast(id % 2 as string) as k")
+    layout = Layout(rows_per_chunk=20_000)
+    sizes = ordering._chunked(rows, ["k"], ["id"], layout).rows.groupBy("__chunk").count().toPandas()["count"]
+    assert len(sizes) == 15 and sizes.max() < 2 * layout.rows_per_chunk
+    placed = ordering.ordinal(rows, ["k"], ["id"], "n", layout)
+    assert placed.where("n <> floor(id / 2) + 1").count() == 0
 
 
 def test_one_shuffle_of_the_rows(spark):
@@ -80,11 +94,6 @@ def test_empty_table(spark):
     assert ordering.running_sum(empty, ["k"], ["id"], "x").count() == 0
 
 
-def test_order_has_one_or_two_columns(rows):
-    with pytest.raises(ValueError):
-        ordering.ordinal(rows, ["k"], ["a", "b", "id"])
-
-
 def test_head_and_slice(spark):
     df = spark.createDataFrame([(2, [9.0]), (1, [1.0, 2.0, 3.0])], "id int, xs array<double>")
     assert [r.id for r in ordering.head_rows(df, ["id"], 1).collect()] == [1]

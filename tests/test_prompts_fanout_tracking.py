@@ -1,13 +1,15 @@
 import json
+import uuid
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import assert_same_rows, plan_of
+from tests.helpers import assert_same_rows, plan_of, rounded
 from tidewheel.operators import fanout, prompts, scale, tracking
 from tidewheel.operators.ordering import Layout
 from tidewheel.plans import searching
+from tidewheel.sources.versions import VersionedTable
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +55,45 @@ def test_missing_responses_are_errors(table):
     assert len(rows) == 30 and all("0 responses" in r.error for r in rows)
 
 
+def counting(folder):
+    """A completion function that leaves a file for every request; prompts with a 7 fail
+    as long as there is no file named ``mended``."""
+
+    def complete(requests):
+        for request in requests:
+            (folder / f"asked-{uuid.uuid4().hex}").write_text(request)
+        if any("question 7 " in r for r in requests) and not (folder / "mended").exists():
+            raise RuntimeError("no")
+        return [f"answer to {len(r)}" for r in requests]
+
+    return complete, lambda: len(list(folder.glob("asked-*")))
+
+
+def test_a_filter_asks_no_row_twice(table, tmp_path):
+    complete, asked = counting(tmp_path)
+    done = prompts.batch_complete(table.where("n <> 7").coalesce(2), complete=complete)
+    assert done.where("error IS NULL").select("n", "response").count() == 29
+    assert asked() == 29
+
+
+def test_answers_are_kept(spark, table, tmp_path):
+    complete, asked = counting(tmp_path)
+    store = VersionedTable(spark, str(tmp_path / "answers"))
+    twice = table.unionByName(table).unionByName(table.limit(1).withColumn("request", F.lit(None).cast("string")))
+    some = twice.where("n < 5").coalesce(1)
+    first = prompts.answered(some, store, complete=complete)
+    assert asked() == 5 and first.where("response IS NOT NULL").count() == 10
+    assert first.where("request IS NULL AND response IS NULL AND error IS NULL").count() == 1
+    again = prompts.answered(twice.coalesce(1), store, complete=lambda r: [complete([x])[0] for x in r])
+    rows = again.collect()
+    assert len(rows) == 61 and sum(r.error is not None for r in rows) == 2
+    before = asked()
+    (tmp_path / "mended").write_text("")
+    mended = prompts.answered(twice.coalesce(1), store, complete=complete).collect()
+    assert asked() == before + 1 and all(r.error is None for r in mended)
+    assert {r.n for r in mended if r.response} == set(range(30))
+
+
 def test_report_is_numbered_in_input_order(table):
     for layout in (Layout(), Layout(rows_per_chunk=7)):
         numbered = prompts.numbered_prompts(table.repartition(4), ["n"], layout=layout)
@@ -91,6 +132,9 @@ def test_null_items_stay_null(spark):
 def test_trial_function(spark, folder):
     trials = searching.objective_trials(spark, folder)
     scored = fanout.map_trials(trials, searching.objective, ["score"], partitions=3)
+    many = fanout.map_trial_batches(trials, searching.objective_of_many, ["score"], partitions=2)
+    assert_same_rows(rounded(scored), rounded(many))
+    assert fanout.map_trial_batches(trials.limit(0), searching.objective_of_many, ["score"]).count() == 0
     assert scored.count() == trials.count()
     assert scored.where("score IS NULL").count() == 0
 

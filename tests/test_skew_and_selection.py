@@ -71,3 +71,12 @@ def test_limit_reaches_the_scan(spark, folder):
     assert "LessThanOrEqual(o_orderkey" in plan_of(limited)
     assert "Exchange" not in plan_of(limited)
     assert_same_rows(limited, orders.orderBy("o_orderkey").limit(100))
+
+
+def test_smallest_of_keys_that_span_all_longs(spark):
+    values = [-(2**63), -(9 * 10**18), -1, 0, 5, 9 * 10**18, 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    for k, value in enumerate(values, 1):
+        assert selection.kth_smallest(df, F.col("v"), k)[0] >= value
+        kept = df.where(selection.first_k(df, F.col("v"), k)).collect()
+        assert sorted(row.v for row in kept) == values[:k]

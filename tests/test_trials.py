@@ -35,6 +35,27 @@ def test_grid_sample_has_no_repeats(spark):
     assert everything.count() == 3 * 420
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 12, 420, 1009, 3240])
+def test_keyed_shuffle_is_a_permutation(spark, size):
+    keys = spark.range(3).withColumnRenamed("id", "k")
+    rows = keys.select("k", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("i"))
+    rows = rows.withColumn("p", trials.permuted(F.col("i"), size, "t", "k"))
+    for found in rows.groupBy("k").agg(F.sort_array(F.collect_list("p")).alias("ps")).collect():
+        assert found.ps == list(range(size))
+    if size > 100:
+        assert rows.where("i = p").count() < size / 10
+        assert rows.groupBy("i").agg(F.countDistinct("p").alias("n")).where("n = 1").count() < size / 10
+
+
+def test_grid_of_a_thousand_million(spark):
+    space = {f"a{i}": trials.GridAxis(tuple(range(10))) for i in range(9)}
+    assert trials.grid_size(space) == 10**9
+    drawn = trials.sample_grid(spark.range(2), "id", space, 50_000, 1)
+    assert drawn.groupBy("id").agg(F.countDistinct("config").alias("n")).collect() == [(0, 50_000), (1, 50_000)]
+    spread = drawn.groupBy("config.a0").count().collect()
+    assert len(spread) == 10 and all(9_000 < row["count"] < 11_000 for row in spread)
+
+
 def test_sample_space_repeats_the_grid_axis(spark):
     rows = trials.sample_space(spark.range(100), "id", search.OBJECTIVE_SPACE, 3)
     assert rows.count() == 300 and rows.select("trial_id").distinct().count() == 300
@@ -94,7 +115,7 @@ def test_folds(spark):
     rows = spark.range(1000).withColumn("label", F.when(F.col("id") % 3 > 0, "hot").otherwise("rare"))
     folds = trials.kfold(rows, "id", 5)
     assert sorted(r.fold for r in folds.select("fold").distinct().collect()) == [0, 1, 2, 3, 4]
-    layout = Layout(hot_share=0.1, hot_rows=10, rows_per_chunk=100)
+    layout = Layout(rows_per_chunk=100)
     dealt = trials.kfold_stratified(rows, "label", "id", 5, layout=layout)
     sizes = dealt.groupBy("label", "fold").count()
     spread = sizes.groupBy("label").agg((F.max("count") - F.min("count")).alias("d")).collect()

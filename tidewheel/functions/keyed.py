@@ -37,10 +37,14 @@ def joined(separator: str, ids: Sequence[ColumnLike]) -> Column:
     return F.concat_ws(separator, *parts)
 
 
+def keyed_bits(tag: str | int, *ids: ColumnLike) -> Column:
+    """The first 32 bits of the hash, as a non-negative integer."""
+    return F.conv(F.substring(digest(tag, ids), 1, 8), 16, 10).cast("bigint")
+
+
 def keyed_uniform(tag: str | int, *ids: ColumnLike) -> Column:
     """Uniform draw in [0, 1) from the first 32 bits of the hash."""
-    bits = F.conv(F.substring(digest(tag, ids), 1, 8), 16, 10)
-    return bits.cast("double") / F.lit(4294967296.0)
+    return keyed_bits(tag, *ids).cast("double") / F.lit(4294967296.0)
 
 
 def keyed_normal(tag: str | int, *ids: ColumnLike) -> Column:

@@ -112,6 +112,30 @@ def map_trials(
     return spread.withColumn("__metrics", apply(config)).select(*trials.columns, "__metrics.*")
 
 
+def map_trial_batches(
+    trials: DataFrame,
+    train: Callable[[Mapping[str, np.ndarray]], Mapping[str, np.ndarray]],
+    metrics: Sequence[str],
+    config: str = "config",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Like :func:`map_trials`, for a ``train`` that takes many trials at a time: it gets the
+    fields of their configs as arrays and returns an array per metric."""
+    kind = pa.struct([(name, pa.float64()) for name in metrics])
+
+    @F.arrow_udf(", ".join(f"{name} double" for name in metrics))
+    def apply(configs: pa.Array) -> pa.Array:
+        if not len(configs):
+            return pa.array([], kind)
+        names = [configs.type.field(i).name for i in range(configs.type.num_fields)]
+        found = train({name: configs.field(name).to_numpy(zero_copy_only=False) for name in names})
+        columns = [pa.array(np.asarray(found[name], np.float64)) for name in metrics]
+        return pa.StructArray.from_arrays(columns, list(metrics))
+
+    spread = trials.repartition(partitions) if partitions else trials
+    return spread.withColumn("__metrics", apply(config)).select(*trials.columns, "__metrics.*")
+
+
 def mean_by_batches(df: DataFrame, keys: Sequence[str], value: str, out: str = "mean") -> DataFrame:
     """Group means from Python: each batch gives sums and counts, Spark adds them up.
 

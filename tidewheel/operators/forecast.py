@@ -30,14 +30,24 @@ def totals_by_period(
     value: Column,
     out: str = "y",
     exact: str | None = None,
+    every: str | None = None,
 ) -> DataFrame:
     """Sum of ``value`` per series and period.
 
     ``exact`` names a decimal type to add up in, for values known to fit it: such
-    sums do not depend on the order of the rows.
+    sums do not depend on the order of the rows. ``every``, an interval such as ``1 day``,
+    fills the calendar of each series from its first period to its last: a period
+    without rows has the sum 0.
     """
     summed = F.sum(value.cast(exact) if exact else value.cast("double"))
-    return df.groupBy(*series, period.alias("period")).agg(summed.cast("double").alias(out))
+    totals = df.groupBy(*series, period.alias("period")).agg(summed.cast("double").alias(out))
+    if every is None:
+        return totals
+    ends = df.groupBy(*series).agg(F.min(period).alias("__first"), F.max(period).alias("__last"))
+    step = F.expr(f"INTERVAL {every}")
+    days = ends.select(*series, F.explode(F.sequence("__first", "__last", step)).alias("period"))
+    blank = days.select(*series, "period", F.lit(0.0).alias(out))
+    return totals.unionByName(blank).groupBy(*series, "period").agg(F.sum(out).alias(out))
 
 
 def series_lists(
@@ -121,6 +131,37 @@ def _css_fit(y: np.ndarray) -> dict | None:
     return {"forecast": y[-1] + step, "phi": _PHI[best], "theta": _THETA[best]}
 
 
+BLOCK = 64
+"""Series that are fitted together; their candidates take about a megabyte a step."""
+
+
+def _css_fits(lists: Sequence[np.ndarray]) -> list[dict | None]:
+    """:func:`_css_fit` of many series: all candidates of a block of them, step by step.
+
+    Longer series come first in a block, so those that go on are always its front.
+    """
+    found: list[dict | None] = [None] * len(lists)
+    order = sorted((i for i, y in enumerate(lists) if len(y) >= MIN_POINTS), key=lambda i: -len(lists[i]))
+    for begin in range(0, len(order), BLOCK):
+        rows = order[begin : begin + BLOCK]
+        lengths = np.array([len(lists[i]) - 1 for i in rows])
+        steps = np.zeros((lengths[0], len(rows)))
+        for column, i in enumerate(rows):
+            steps[: lengths[column], column] = np.diff(lists[i])
+        e, sse = np.zeros((len(rows), len(_PHI))), np.zeros((len(rows), len(_PHI)))
+        before = np.zeros(len(rows))
+        for at, w in enumerate(steps):
+            live = int(np.searchsorted(-lengths, -at))  # series longer than this step
+            e[:live] = w[:live, None] - before[:live, None] * _PHI - _THETA * e[:live]
+            sse[:live] += e[:live] * e[:live]
+            before[:live] = w[:live]
+        best = np.argmin(np.round(sse, 4), axis=1)
+        ahead = _PHI[best] * before + _THETA[best] * e[np.arange(len(rows)), best]
+        for i, b, step in zip(rows, best, ahead, strict=True):
+            found[i] = {"forecast": lists[i][-1] + step, "phi": _PHI[b], "theta": _THETA[b]}
+    return found
+
+
 def _lists(column: pa.Array) -> Iterator[np.ndarray]:
     for item in column:
         values = item.values
@@ -137,7 +178,7 @@ def css_forecast_fast(ys: str | Column) -> Column:
     @F.arrow_udf("forecast double, phi double, theta double")
     def fit(lists: pa.Array) -> pa.Array:
         kind = pa.struct([(name, pa.float64()) for name in ("forecast", "phi", "theta")])
-        return pa.array([_css_fit(y) for y in _lists(lists)], kind)
+        return pa.array(_css_fits(list(_lists(lists))), kind)
 
     return fit(ys)
 

@@ -1,15 +1,15 @@
 """Running sums, differences and positions inside ordered groups of any size.
 
-A group small enough for one task is handled by an ordinary window. A hot group
-is cut into chunks of consecutive rows at quantiles of its order columns, and
-each chunk is a window partition of its own. What a chunk has to know of the
-rows before it enters its window as one more row, the seed, which sorts first
-and is dropped again: rows and seeds share one shuffle and nothing is joined
-back. Without keys the whole table is the group and is always cut.
-
-Order columns are numeric and together tell the rows of a group apart. Finding
-hot groups and their quantiles runs when the operator is applied; a table that
-is costly to compute should be written or checkpointed before.
+All rows, in the order of keys and order columns, are cut into chunks of about equal size
+at splitters taken from a sample, and a chunk's part of a group is a window partition of its
+own. Only a group that a splitter falls into lies in several chunks; there are no more of
+them than splitters. What a chunk has to know of such a group's rows before it enters its window as
+one more row, the seed, which sorts first and is dropped again: rows and seeds share
+one shuffle and nothing is joined back.
+
+Order columns are of any type that sorts, as many as it takes to tell the rows of a group
+apart. Counting and sampling run when the operator is applied; a table that is costly to
+compute should be written or checkpointed before.
 """
 
 from __future__ import annotations
@@ -18,39 +18,25 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidewheel.operators.skew import (
-    HOT_SHARE,
-    copy_keys,
-    drop_copies,
-    is_hot,
-    key_counts,
-    same_keys,
-)
-
-_CHUNK, _HOT, _SEED, _STATE = "__chunk", "__hot", "__seed", "__state"
+_CHUNK, _CUT, _SEED, _STATE = "__chunk", "__cut", "__seed", "__state"
+SAMPLED_PER_CHUNK = 32
+MOST_SAMPLED = 1_000_000
+"""Rows that splitters are chosen from, as many as Spark itself takes for a sort at most."""
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How groups are cut; tests lower the sizes to exercise the chunked path.
-
-    One task sorts ten million rows well, so smaller groups stay whole: cutting
-    costs a pass for the quantiles and one for the seeds.
-    """
+    """How rows are cut; tests lower the size to have many chunks."""
 
-    hot_share: float = HOT_SHARE
-    hot_rows: int = 10_000_000
     rows_per_chunk: int = 5_000_000
-    max_chunks: int = 10_000
 
 
 @dataclass(frozen=True)
 class _Chunks:
-    """A table with its chunk numbers; ``cut`` tells whether any group has several."""
+    """A table with its chunk numbers; ``cut`` tells whether there are several."""
 
     rows: DataFrame
     keys: Sequence[str]
@@ -58,18 +44,19 @@ class _Chunks:
     cut: bool
 
     def window(self) -> WindowSpec:
-        first = [F.col(_SEED).desc()] if self.cut else []
-        return Window.partitionBy(*self.keys, _CHUNK).orderBy(*first, *self.order)
+        if not self.cut:
+            return Window.partitionBy(*self.keys).orderBy(*self.order)
+        return Window.partitionBy(*self.keys, _CHUNK).orderBy(F.col(_SEED).desc(), *self.order)
 
     def seeded(self, part: Column, state: Callable[[Column, WindowSpec], Column]) -> DataFrame:
-        """The rows and, for each later chunk of a hot group, a row holding its ``state``.
+        """The rows and, for each later chunk of a group, a row holding its ``state``.
 
-        ``part`` sums up one chunk; ``state`` is taken over the parts of a group
+        ``part`` sums up one chunk of a group; ``state`` is taken over the parts of a group
         in chunk order, a window of as many rows as the group has chunks.
         """
         if not self.cut:
-            return self.rows.withColumn(_STATE, F.lit(None))
-        parts = self.rows.where(_HOT).groupBy(*self.keys, _CHUNK).agg(part.alias("__part"))
+            return self.rows
+        parts = self.rows.where(_CUT).groupBy(*self.keys, _CHUNK).agg(part.alias("__part"))
         chunks = Window.partitionBy(*self.keys).orderBy(_CHUNK)
         seeds = parts.select(
             *self.keys,
@@ -81,65 +68,64 @@ class _Chunks:
         return rows.unionByName(seeds, allowMissingColumns=True)
 
     def finish(self, result: DataFrame) -> DataFrame:
-        kept = result.where(~F.col(_SEED)) if self.cut else result
-        return kept.drop(_SEED, _STATE)
+        return result.where(~F.col(_SEED)).drop(_SEED, _STATE) if self.cut else result
+
+
+def _columns(keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """Keys, then the order columns that are no keys."""
+    return list(dict.fromkeys([*keys, *order]))
+
 
+def _splitters(df: DataFrame, keys: Sequence[str], order: Sequence[str], layout: Layout) -> DataFrame | None:
+    """One row with the sorted array of splitters, each the keys and order columns of a row."""
+    total = df.count()
+    chunks = math.ceil(total / layout.rows_per_chunk)
+    if not keys and total:
+        chunks = max(chunks, df.sparkSession.sparkContext.defaultParallelism)
+    if chunks < 2:
+        return None
+    share = min(1.0, min(SAMPLED_PER_CHUNK * chunks, MOST_SAMPLED) / total)
+    some = df.select(F.struct(*_columns(keys, order)).alias("row"))
+    # a small table is not sampled but sorted, so that its chunks are even
+    some = some.sample(share, 17) if total > 100_000 else some
+    held = some.agg(F.sort_array(F.collect_list("row")).alias("held"))
+    last = F.size("held") - 1
+    place = lambda i: F.floor(last * i / chunks).cast("int")
+    chosen = F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), lambda i: F.get(F.col("held"), place(i)))
+    one = held.select(F.when(last >= 0, F.array_distinct(chosen)).alias("splitters"))
+    # as values: a sample that is taken twice may not be the same
+    found = one.first()["splitters"]
+    return df.sparkSession.createDataFrame([(found,)], one.schema) if found else None
 
-def _bucket(df: DataFrame, column: str, splits: Sequence[float], out: str) -> DataFrame:
-    bounds = [float("-inf"), *sorted(set(splits)), float("inf")]
-    bucketizer = Bucketizer(splits=bounds, inputCol=column, outputCol=out, handleInvalid="keep")
-    return bucketizer.transform(df)
+
+def _up_to(entries: Column, size: int, row: Column) -> Column:
+    """How many of the sorted ``entries`` are not above ``row``, by bisection."""
+    steps = [1 << bit for bit in range(size.bit_length() - 1, -1, -1)]
+
+    def step(found: Column, width: Column) -> Column:
+        return F.when((found + width <= size) & (F.get(entries, found + width - 1) <= row), found + width).otherwise(found)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
 
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], layout: Layout) -> _Chunks:
-    """Number the chunks; numbers grow with ``order`` inside a group.
-
-    A first order column that repeats one value over several quantiles is split
-    further by the second one.
-    """
-    if len(order) > 2:
-        raise ValueError("order by one or two numeric columns")
-    hot = None
-    if keys:
-        counts = key_counts(df, keys)
-        found = counts.where(is_hot(counts, layout.hot_share, layout.hot_rows))
-        n_hot = found.agg(F.sum("__n")).first()[0] or 0
-        wanted = math.ceil(n_hot / layout.rows_per_chunk)
-    else:
-        n_hot = df.count()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        wanted = max(math.ceil(n_hot / layout.rows_per_chunk), cores)
-    splits = [[]]
-    if n_hot:
-        n_chunks = min(max(wanted, 2), layout.max_chunks)
-        source = df
-        if keys:
-            hot = F.broadcast(found.select(*copy_keys(keys), F.lit(True).alias(_HOT)))
-            source = df.join(hot, same_keys(df, hot, keys), "left_semi")
-        shares = [i / n_chunks for i in range(1, n_chunks)]
-        splits = source.approxQuantile(list(order), shares, 1 / (4 * n_chunks))
-    if not splits[0]:
-        rows = df.withColumns({_CHUNK: F.lit(0).cast("bigint"), _HOT: F.lit(False)})
-        return _Chunks(rows, keys, order, cut=False)
-
-    rows = _bucket(df, order[0], splits[0], "__b0")
-    chunk = F.col("__b0").cast("bigint")
-    if len(order) == 2:
-        rows = _bucket(rows, order[1], splits[1], "__b1")
-        repeated = sorted({s for s in splits[0] if splits[0].count(s) > 1})
-        last = F.lit(n_chunks + 1)
-        inner = last
-        if repeated:
-            is_repeated = F.col(order[0]).cast("double").isin(repeated)
-            inner = F.when(is_repeated, F.col("__b1").cast("bigint")).otherwise(last)
-        chunk = chunk * F.lit(n_chunks + 2) + inner
-    if hot is None:
-        rows = rows.withColumns({_HOT: F.lit(True), _CHUNK: chunk})
-    else:
-        rows = drop_copies(rows.join(hot, same_keys(rows, hot, keys), "left"), keys)
-        rows = rows.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-        rows = rows.withColumn(_CHUNK, F.when(F.col(_HOT), chunk).otherwise(F.lit(0)))
-    return _Chunks(rows.drop("__b0", "__b1"), keys, order, cut=True)
+    """Number the chunks; numbers grow with ``order`` inside a group."""
+    splitters = _splitters(df, keys, order, layout)
+    if splitters is None:
+        return _Chunks(df, keys, order, cut=False)
+    size = splitters.select(F.size("splitters")).first()[0]
+    # in a column first: a subquery cannot stand inside a higher-order function
+    rows = df.withColumn("__splitters", splitters.scalar())
+    rows = rows.withColumn(_CHUNK, _up_to(F.col("__splitters"), size, F.struct(*_columns(keys, order)))).drop("__splitters")
+    if not keys:
+        return _Chunks(rows.withColumn(_CUT, F.lit(True)), keys, order, cut=True)
+    groups = splitters.select(
+        F.array_distinct(F.transform("splitters", lambda x: F.struct(*(x[key].alias(key) for key in keys)))).alias("groups")
+    )
+    count, key = groups.select(F.size("groups")).first()[0], F.struct(*keys)
+    nearest = F.get("__groups", _up_to(F.col("__groups"), count, key) - 1)
+    rows = rows.withColumn("__groups", groups.scalar()).withColumn(_CUT, nearest.eqNullSafe(key)).drop("__groups")
+    return _Chunks(rows, keys, order, cut=True)
 
 
 def _earlier_sum(part: Column, chunks: WindowSpec) -> Column:
@@ -167,7 +153,7 @@ def running_sum(
     rows = chunks.seeded(F.sum(value), _earlier_sum)
     term = F.coalesce(_STATE, value) if chunks.cut else F.col(value)
     summed = rows.withColumn(out, F.sum(term).over(_so_far(chunks.window())))
-    return chunks.finish(summed).drop(_CHUNK, _HOT)
+    return chunks.finish(summed).drop(_CHUNK, _CUT)
 
 
 def ordinal(
@@ -184,7 +170,7 @@ def ordinal(
         place = F.sum(F.coalesce(_STATE, F.lit(1))).over(_so_far(chunks.window()))
     else:
         place = F.row_number().over(chunks.window()).cast("bigint")
-    return chunks.finish(rows.withColumn(out, place)).drop(_CHUNK, _HOT)
+    return chunks.finish(rows.withColumn(out, place)).drop(_CHUNK, _CUT)
 
 
 def difference(
@@ -205,7 +191,7 @@ def difference(
         current = F.coalesce(_STATE, out) if chunks.cut else F.col(out)
         moved = seeded.withColumn(out, current - F.lag(current).over(chunks.window()))
         rows = chunks.finish(moved)
-    return rows.drop(_CHUNK, _HOT)
+    return rows.drop(_CHUNK, _CUT)
 
 
 def head_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.arrays import cap_words
 from tidewheel.operators.ordering import Layout, ordinal
+from tidewheel.sources.versions import VersionedTable
 
 # The system text and the answer length of every request.
 SYSTEM_TEXT = "You are an AI assistant"
@@ -63,7 +64,8 @@ def batch_complete(
 
     ``complete`` is called with a batch of request bodies. If the batch fails it
     is tried row by row, so one bad prompt does not cost its neighbours.
-    ``parallelism`` bounds the number of batches under way at a service.
+    ``parallelism`` bounds the number of batches under way at a service. A filter on the
+    result never makes a row be asked twice.
     """
 
     def attempt(requests: Sequence[str]) -> list[dict]:
@@ -83,7 +85,37 @@ def batch_complete(
         return pa.array(attempt(requests.to_pylist()) if len(requests) else [], fields)
 
     spread = df.repartition(parallelism) if parallelism else df
-    return spread.withColumn("__scored", score(request)).select(*df.columns, "__scored.*")
+    # an answer may differ from call to call: no filter is pushed below it, no copy made of it
+    asked = spread.withColumn("__scored", score.asNondeterministic()(request))
+    return asked.select(*df.columns, "__scored.*")
+
+
+def answered(
+    df: DataFrame,
+    answers: VersionedTable,
+    request: str = "request",
+    complete: Complete = offline_complete,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """``df`` with ``response`` and ``error``, from ``answers`` that are kept by request.
+
+    Only requests that have no response yet are asked, each of them once however many rows
+    have it, and what comes back is committed before it is used. So a job that is run again
+    asks for what is missing, failed requests among it. A null request is not asked.
+    """
+    keyed = df.withColumn("__key", F.sha2(F.col(request).cast("binary"), 256))
+    wanted = keyed.where(F.col(request).isNotNull()).groupBy("__key").agg(F.any_value(request).alias("__request"))
+    missing = wanted
+    if answers.versions():
+        known = answers.read().where("response IS NOT NULL").select(F.col("key").alias("__key"))
+        missing = wanted.join(known, "__key", "left_anti")
+    scored = batch_complete(missing, "__request", complete, parallelism)
+    attempt = F.lit(len(answers.versions())).alias("attempt")
+    answers.write(scored.select(F.col("__key").alias("key"), "response", "error", attempt))
+    # a response if there is one, else the last error
+    last = F.max_by(F.struct("response", "error"), F.struct(F.col("response").isNotNull(), "attempt"))
+    found = answers.read().groupBy(F.col("key").alias("__key")).agg(last.alias("__found"))
+    return keyed.join(found, "__key", "left").select(*df.columns, "__found.response", "__found.error")
 
 
 def response_text(response: Column) -> Column:

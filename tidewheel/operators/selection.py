@@ -33,9 +33,12 @@ def kth_smallest(
     wanted = k
     while True:
         width = (high - low) // FANOUT + 1
+        # differences of keys far apart do not fit a long
+        wide = high - low >= 1 << 63
+        distance = f"(CAST(v AS DECIMAL(20,0)) - {low}BD)" if wide else f"(v - ({low}L))"
         counts = (
-            keys.where(F.col("v").between(low, high))
-            .groupBy(F.expr(f"(v - {low}L) DIV {width}L").alias("slot"))
+            keys.where(F.col("v").between(F.lit(low), F.lit(high)))
+            .groupBy(F.expr(f"CAST({distance} DIV {width}{'BD' if wide else 'L'} AS BIGINT)").alias("slot"))
             .count()
             .toArrow()
             .sort_by("slot")

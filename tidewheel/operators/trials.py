@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.keyed import digest, keyed_rank, keyed_uniform
+from tidewheel.functions.keyed import keyed_bits, keyed_rank, keyed_uniform
 from tidewheel.operators.ordering import Layout, ordinal
 from tidewheel.operators.selection import first_k
 
@@ -130,21 +130,47 @@ def sample_choice(
     return searches.select(key, draws).withColumn("config", _config(space, values))
 
 
+ROUNDS = 4
+
+
+def factors(size: int) -> tuple[int, int]:
+    """Two factors of ``size``, as close to each other as there are."""
+    low = math.isqrt(size)
+    while low > 1 and size % low:
+        low -= 1
+    return max(low, 1), size // max(low, 1)
+
+
+def permuted(index: Column, size: int, tag: str, *ids: str) -> Column:
+    """The place of ``index`` in a keyed shuffle of 0 to ``size`` - 1, without the others.
+
+    The index is taken apart into a quotient and a remainder by a factor of ``size``, and in
+    turn each is moved on by a hash of the other, as in a Feistel network; so no two indices
+    come to the same place. A ``size`` that is prime is only turned round and stretched.
+    """
+    rows, columns = factors(size)
+    index = index.cast("bigint")
+    if rows == 1:
+        stretch = 1 + keyed_bits(f"{tag}:stretch", *ids) % F.lit(max(size - 1, 1))
+        return (index * stretch + keyed_bits(f"{tag}:turn", *ids)) % F.lit(size)
+    high, low = F.floor(index / F.lit(columns)).cast("bigint"), index % F.lit(columns)
+    for number in range(ROUNDS):
+        high = (high + keyed_bits(f"{tag}:{number}:high", *ids, low)) % F.lit(rows)
+        low = (low + keyed_bits(f"{tag}:{number}:low", *ids, high)) % F.lit(columns)
+    return high * F.lit(columns) + low
+
+
 def sample_grid(
     searches: DataFrame, key: str, space: Space, n: int, seed: int = 0
 ) -> DataFrame:
     """``n`` different configurations per search, drawn from the grid without repeats.
 
-    The grid is ranked by hash inside the row, so sampling needs no shuffle.
+    Draw i is the configuration at place i of a keyed shuffle of the grid, which is worked out
+    for that place alone; the grid is never laid out, whatever its size.
     """
-    indices = F.sequence(F.lit(0), F.lit(grid_size(space) - 1))
-    ranked = F.transform(
-        indices,
-        lambda i: F.struct(digest(f"{seed}:grid", [key, i]).alias("rank"), i.alias("config_id")),
-    )
-    chosen = F.slice(F.array_sort(ranked), 1, n)
-    rows = searches.select(key, F.posexplode(chosen).alias("draw", "__pick"))
-    rows = rows.select(key, "draw", F.col("__pick.config_id").alias("config_id"))
+    size = grid_size(space)
+    rows = searches.select(key, F.explode(F.sequence(F.lit(0), F.lit(min(n, size) - 1))).alias("draw"))
+    rows = rows.withColumn("config_id", permuted(F.col("draw"), size, f"{seed}:grid", key))
     return rows.withColumn("config", _config(space, decode_grid(space, F.col("config_id"))))
 
 
@@ -157,8 +183,9 @@ def best_trial(
 ) -> DataFrame:
     """The whole row of the best trial, per ``by``; the smaller trial id wins a tie.
 
-    An aggregation with a partial step, so there is no global sort and no hot
-    task. Trials without a usable metric are passed over inside the aggregate: a
+    Without ``by`` each partition keeps one row and the driver the best of these. With it, an
+    aggregation with a partial step. So there is no global sort and no hot
+    task. Trials without a usable metric are passed over in the end or inside the aggregate: a
     filter would make the metric's expression run a second time.
     """
     if mode not in ("min", "max"):
@@ -166,6 +193,10 @@ def best_trial(
     row = F.struct(*trials.columns)
     value = F.col(metric)
     usable = value.isNotNull() & ~F.isnan(value.cast("double"))
+    if not by:
+        ranked = trials.withColumn("__usable", usable)
+        sign = value.asc() if mode == "min" else value.desc()
+        return ranked.orderBy(F.desc("__usable"), sign, trial).limit(1).where("__usable").drop("__usable")
     if mode == "min":
         best = F.min_by(row, F.when(usable, F.struct(value, F.col(trial))))
     else:

@@ -13,6 +13,7 @@ from tidewheel.operators.skew import spread
 from tidewheel.plans.registry import normal_sql, query, uniform_sql
 from tidewheel.session import shared_dir
 from tidewheel.sources import generators, tables
+from tidewheel.sources.versions import VersionedTable
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
@@ -70,6 +71,21 @@ def scan_limit(spark: SparkSession, folder: str) -> DataFrame:
     return tables.limited(orders, "o_orderkey", 1000)
 
 
+@query(
+    """SELECT event_id, user_id, event_type, value FROM events
+    WHERE event_type <> 'error' AND event_id % 3 < 2"""
+)
+def scan_version(spark: SparkSession, folder: str) -> DataFrame:
+    """The second version of a table that was written four times."""
+    events = load(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    history = VersionedTable(spark, shared_dir(spark, "versions"))
+    history.write(events.where("event_type <> 'error' AND event_id % 3 = 0"))
+    history.write(events.where("event_type <> 'error' AND event_id % 3 = 1"))
+    history.write(events.where("event_id % 3 = 2"))
+    history.write(events.limit(0), "overwrite")
+    return history.read(version=2)
+
+
 @query(
     """SELECT user_id, arg_max(event_id, event_id) AS event_id,
       arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value,
@@ -77,13 +93,27 @@ def scan_limit(spark: SparkSession, folder: str) -> DataFrame:
     FROM (SELECT *, dayofmonth(ts)::INT AS version FROM events) WHERE version <= 15
     GROUP BY user_id"""
 )
-def scan_version(spark: SparkSession, folder: str) -> DataFrame:
+def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user's last event up to the middle of the month."""
     rows = load(spark, folder, "events").select(
         "user_id", "event_id", "event_type", "value", F.dayofmonth("ts").alias("version")
     )
     return tables.as_of_version(rows, ["user_id"], "version", 15, order=["event_id"])
 
 
+@query(
+    """SELECT l_returnflag, count(*) AS n_rows, sum(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END
+      * l_quantity::DECIMAL(18,2))::DOUBLE AS quantity FROM lineitem GROUP BY 1"""
+)
+def sink_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """A partitioned table of which one partition was replaced."""
+    rows = load(spark, folder, "lineitem").select("l_returnflag", "l_quantity")
+    table = VersionedTable(spark, shared_dir(spark, "sink"), ["l_returnflag"])
+    table.write(rows)
+    table.write(rows.where("l_returnflag = 'R'").withColumn("l_quantity", 2 * F.col("l_quantity")), "partitions")
+    return table.read().groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), cents("l_quantity").alias("quantity"))
+
+
 @query(
     """SELECT l_returnflag, count(*) AS n_rows, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS quantity,
       sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS price

@@ -9,16 +9,32 @@ from tidewheel.functions.rounding import to_places
 from tidewheel.operators import forecast, tracking
 from tidewheel.plans.data import cents, load, to_second
 from tidewheel.plans.registry import query
+from tidewheel.session import shared_dir
 
 EXPERIMENT = "sales_forecast"
 ORDER = "(1, 1, 1)"
 
-_DAILY_SQL = """(SELECT event_type AS series, ts::DATE AS period,
-      sum(value::DECIMAL(18,2))::DOUBLE AS y FROM events GROUP BY 1, 2)"""
 
-_MONTHLY_SQL = """(SELECT p_brand AS series, date_trunc('month', l_shipdate) AS period,
+
+def _filled_sql(totals: str, every: str) -> str:
+    """``totals`` with a 0 for each period of a series' calendar that has no row."""
+    return f"""(SELECT series, period, sum(y) AS y FROM (SELECT * FROM {totals}
+      UNION ALL SELECT series, unnest(generate_series(min(period), max(period), INTERVAL {every}))::DATE, 0
+      FROM {totals} GROUP BY 1) GROUP BY 1, 2)"""
+
+
+_DAILY_SQL = _filled_sql(
+    """(SELECT event_type AS series, ts::DATE AS period,
+      sum(value::DECIMAL(18,2))::DOUBLE AS y FROM events GROUP BY 1, 2)""",
+    "1 DAY",
+)
+
+_MONTHLY_SQL = _filled_sql(
+    """(SELECT p_brand AS series, date_trunc('month', l_shipdate)::DATE AS period,
       sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS y
-    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)""",
+    "1 MONTH",
+)
 
 
 def _css_sql(totals: str) -> str:
@@ -43,6 +59,7 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
         F.to_date("ts"),
         F.col("value"),
         exact="decimal(18,2)",
+        every="1 day",
     )
     return forecast.series_lists(totals, ["series"])
 
@@ -61,6 +78,7 @@ def monthly_series(spark: SparkSession, folder: str) -> DataFrame:
         F.trunc(F.col("l_shipdate").cast("date"), "month"),
         F.col("l_extendedprice"),
         exact="decimal(18,2)",
+        every="1 month",
     )
     return forecast.series_lists(totals, ["series"])
 
@@ -105,6 +123,25 @@ def forecast_order_ar(spark: SparkSession, folder: str) -> DataFrame:
     return fitted.withColumn("forecast", to_places("forecast", 2))
 
 
+@query(
+    f"""WITH d AS (SELECT series, ys, list_transform(range(2, len(ys)+1), lambda i: ys[i]-ys[i-1]) AS ws
+      FROM (SELECT series, list(y ORDER BY period) AS ys FROM {_MONTHLY_SQL} GROUP BY 1)),
+    w AS (SELECT series, ys, list_transform(range(2, len(ws)+1), lambda i: ws[i]-ws[i-1]) AS ws, ws AS once FROM d),
+    l AS (SELECT *, list_transform(range(1, len(ws)+1), lambda i: if(i > 1, ws[i-1], 0)) AS w1,
+        list_transform(range(1, len(ws)+1), lambda i: if(i > 2, ws[i-2], 0)) AS w2 FROM w),
+    s AS (SELECT *, list_dot_product(w1, w1) AS s11, list_dot_product(w1, w2) AS s12, list_dot_product(w2, w2) AS s22,
+        list_dot_product(ws, w1) AS b1, list_dot_product(ws, w2) AS b2 FROM l)
+    SELECT series, round(2 * ys[-1] - ys[-2] + (s22 * b1 - s12 * b2) / (s11 * s22 - s12 * s12) * ws[-1]
+        + (s11 * b2 - s12 * b1) / (s11 * s22 - s12 * s12) * ws[-2], 2) AS forecast, 'ok' AS status
+    FROM s"""
+)
+def forecast_order_ar2(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (2, 2, 0), whose fit solves two linear equations."""
+    lists = monthly_series(spark, folder)
+    fitted = forecast.forecast_order(lists, (2, 2, 0), spark.sparkContext.defaultParallelism)
+    return fitted.withColumn("forecast", to_places("forecast", 2))
+
+
 @query(
     f"""WITH fits AS (SELECT md5('{EXPERIMENT}/'||series) AS run_id, * FROM {_css_sql(_DAILY_SQL)})
     SELECT run_id, series, 'param' AS kind, 'order' AS key, '{ORDER}' AS text_value,
@@ -229,3 +266,27 @@ def latest_metric(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("step"),
     )
     return tracking.latest_metric(metrics)
+
+
+@query(
+    f"""SELECT 'param' AS kind, run_id, 'order' AS key, '{ORDER}' AS text_value, NULL::DOUBLE AS number_value
+      FROM {_USER_TOTALS_SQL}
+    UNION ALL SELECT 'param', run_id, 'n_points', n_points::VARCHAR, NULL FROM {_USER_TOTALS_SQL}
+    UNION ALL SELECT 'metric', run_id, 'total', NULL, total FROM {_USER_TOTALS_SQL}
+    UNION ALL SELECT 'metric', run_id, 'mean', NULL, round(total / n_points, 6) FROM {_USER_TOTALS_SQL}"""
+)
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Params and metrics appended to the run log, one commit twice, and read back."""
+    store = tracking.RunStore(spark, shared_dir(spark, "runs"))
+    params, metrics = run_params(spark, folder), run_metrics(spark, folder)
+    store.append("params", params.where("key = 'order'"), "orders")
+    store.append("params", params.where("key <> 'order'"), "points")
+    store.append("metrics", metrics, "metrics")
+    store.append("metrics", metrics, "metrics")
+    text = F.col("value").cast("string").alias("text_value")
+    none = F.lit(None).cast("double").alias("number_value")
+    logged = store.read("params").select(F.lit("param").alias("kind"), "run_id", "key", text, none)
+    number = store.read("metrics").select(
+        F.lit("metric").alias("kind"), "run_id", "key", F.lit(None).cast("string").alias("text_value"), F.col("value").alias("number_value")
+    )
+    return logged.unionByName(number)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidewheel.operators import prompts
 from tidewheel.plans.data import load
 from tidewheel.plans.registry import query
+from tidewheel.session import shared_dir
+from tidewheel.sources.versions import VersionedTable
 
 MODEL = "offline"
 
@@ -42,7 +44,23 @@ def chat_request(spark: SparkSession, folder: str) -> DataFrame:
     FROM conversations WHERE role = 'user'"""
 )
 def batch_complete(spark: SparkSession, folder: str) -> DataFrame:
-    return answers(user_turns(spark, folder)).select("conv_id", "turn", "response", "error")
+    """Every prompt scored, as many batches at a time as there are cores."""
+    turns = requests(user_turns(spark, folder))
+    scored = prompts.batch_complete(turns, parallelism=spark.sparkContext.defaultParallelism)
+    return scored.select("conv_id", "turn", prompts.response_text(F.col("response")).alias("response"), "error")
+
+
+@query(
+    f"""SELECT conv_id, turn, {_ANSWER_SQL} AS response, NULL::VARCHAR AS error
+    FROM conversations WHERE role = 'user'"""
+)
+def complete_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the conversations scored, then all of them: each prompt is asked once."""
+    turns = requests(user_turns(spark, folder))
+    store = VersionedTable(spark, shared_dir(spark, "answers"))
+    prompts.answered(turns.where("conv_id % 2 = 0"), store)
+    scored = prompts.answered(turns, store, parallelism=spark.sparkContext.defaultParallelism)
+    return scored.select("conv_id", "turn", prompts.response_text(F.col("response")).alias("response"), "error")
 
 
 @query("SELECT conv_id, turn, text AS content FROM conversations")

@@ -34,6 +34,11 @@ def uniform_sql(tag: str, *ids: str) -> str:
     return f"(('0x'||substr({digest_sql(tag, *ids)},1,8))::BIGINT/4294967296::DOUBLE)"
 
 
+def bits_sql(tag: str, *ids: str) -> str:
+    """SQL text for the first 32 bits of the keyed hash."""
+    return f"('0x'||substr({digest_sql(tag, *ids)},1,8))::BIGINT"
+
+
 def rank_sql(tag: str, *ids: str) -> str:
     return f"('0x'||substr({digest_sql(tag, *ids)},1,15))::BIGINT"
 
