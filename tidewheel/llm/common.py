@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OPEN: list[list[DataFrame]] = []
+"""Staged tables of the open workspaces, innermost last."""
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below the shared folder and read back: a cut in the lineage
-    that outlives lost executors, and a place where generated row ids are fixed."""
+    that outlives lost executors, and a place where generated row ids are fixed.
+
+    The table stays until it is released, or until the workspace that it was made in ends.
+    """
     spark = df.sparkSession
     ship(spark)
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    if _OPEN:
+        _OPEN[-1].append(out)
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes staged tables, whose rows are no longer asked for: what was derived from
+    them has itself been written, so a lost executor does not ask for them again."""
+    for table in tables:
+        for held in _OPEN:
+            held[:] = [one for one in held if one is not table]
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._staged_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def workspace() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Removes at its end what operators have staged inside, but for tables passed to the
+    function it gives: ``with workspace() as keep: docs = keep(staged(...))``."""
+    held: list[DataFrame] = []
+    _OPEN.append(held)
+
+    def keep(table: DataFrame) -> DataFrame:
+        held[:] = [one for one in held if one is not table]
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _OPEN.remove(held)
+        release(*held)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -56,15 +99,15 @@ def sample_rows(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(top)) < int(top * rows / total))
 
 
-def text_blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``TEXT_BLOCK`` bytes of text, one row at least."""
+def text_blocks(batch: pa.RecordBatch, column: str = "text", size: int = TEXT_BLOCK) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text, one row at least."""
     start, held = 0, 0
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
-    for row, size in enumerate(sizes):
-        if held and held + size > TEXT_BLOCK:
+    for row, more in enumerate(sizes):
+        if held and held + more > size:
             yield batch.slice(start, row - start)
             start, held = row, 0
-        held += size
+        held += more
     if start < batch.num_rows:
         yield batch.slice(start)
 
@@ -88,6 +131,14 @@ def schema_with(df: DataFrame, **kinds: str) -> T.StructType:
     return df.withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()}).schema
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def schema_of(*fields: tuple[str, str]) -> T.StructType:
     return T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields])
 
@@ -117,8 +168,8 @@ def _pack(text: str | None) -> tuple[int, bytes]:
     return len(raw), _CODEC.compress(raw, asbytes=True)
 
 
-def packed_texts(texts: DataFrame, id_col: str) -> DataFrame:
-    """(id, size, packed) of (id, text): UTF-8 bytes, compressed for a shuffle."""
+def packed_texts(texts: DataFrame, *id_cols: str) -> DataFrame:
+    """(ids, size, packed) of (ids, text): UTF-8 bytes, compressed for a shuffle. Ids are longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,13 +177,14 @@ def packed_texts(texts: DataFrame, id_col: str) -> DataFrame:
                 packs = [_pack(text) for text in block.column("text").to_pylist()]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        id_col: block.column(id_col),
+                        **{name: block.column(name) for name in id_cols},
                         "size": pa.array([size for size, _ in packs], pa.int64()),
                         "packed": pa.array([packed for _, packed in packs], pa.binary()),
                     }
                 )
 
-    return texts.select(id_col, "text").mapInArrow(run, f"{id_col} long, size long, packed binary")
+    ids = "".join(f"{name} long, " for name in id_cols)
+    return texts.select(*id_cols, "text").mapInArrow(run, f"{ids}size long, packed binary")
 
 
 def packed_numbers(values: np.ndarray) -> bytes:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import staged
-from tidewheel.llm.graph import components
+from tidewheel.llm.graph import components, stars
 from tidewheel.llm.topk import matrix, usable
 
 LEADING = 8
@@ -102,21 +102,6 @@ def interval_pairs(laid: DataFrame, lead: int, epsilon: float) -> DataFrame:
     return met.select("i", "j").distinct()
 
 
-def _stars(links: np.ndarray) -> np.ndarray:
-    """Star edges (node, root) with the same components as a small adjacency matrix."""
-    size = len(links)
-    root = np.arange(size)
-    while True:
-        seen = np.where(links, root[None, :], size).min(1)
-        lower = np.minimum(root, seen)
-        lower = lower[lower]
-        if (lower == root).all():
-            break
-        root = lower
-    moved = np.flatnonzero(root != np.arange(size))
-    return np.stack([moved, root[moved]], 1)
-
-
 def join_sequences(left: dict, right: dict, cosine: float, epsilon: float, same: bool):
     """Link counts of both sides, weighted by copies, and edges that span the links.
 
@@ -147,7 +132,7 @@ def join_sequences(left: dict, right: dict, cosine: float, epsilon: float, same:
         x, y = np.searchsorted(nodes, left["id"][a + i]), np.searchsorted(nodes, right["id"][c + j])
         links = np.zeros((len(nodes), len(nodes)), bool)
         links[x, y] = links[y, x] = True
-        edges.append(nodes[_stars(links)])
+        edges.append(nodes[stars(links)])
 
     todo = [(0, len(left["id"]), 0, len(right["id"]))]
     while todo:

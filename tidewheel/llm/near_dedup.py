@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import packed_texts, staged, text_blocks, unpack
-from tidewheel.llm.embedding_dedup import _stars
-from tidewheel.llm.graph import components
+from tidewheel.llm.graph import components, stars
 
 BANDS, ROWS = 40, 8
 """At a similarity of 0.85 two documents miss all bands once in 300,000 pairs."""
@@ -236,7 +235,7 @@ def confirm(
         shared += dense @ dense.T
     shared = np.rint(shared).astype(np.int64)
     linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
-    return ids[_stars(linked & pairs)]
+    return ids[stars(linked & pairs)]
 
 
 def confirmed_links(texts: DataFrame, plan: DataFrame, size: int, percent: int) -> DataFrame:
