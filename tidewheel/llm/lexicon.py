@@ -120,3 +120,29 @@ class Transducer:
         if not self.finals[state]:
             return None
         return self.ids[self.starts[number] : self.starts[number + 1]].tolist()
+
+    def find_all(self, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each word in the lexicon, -1 if it is not there; words are
+        stretches of ``letters`` (bytes), and all of them take a transition at a time."""
+        first, labels, targets, outputs, finals = (
+            np.asarray(x) for x in (self.first, self.labels, self.targets, self.outputs, self.finals)
+        )
+        # arcs lie in order of their state and label
+        arcs = np.repeat(np.arange(self.states, dtype=np.int64), np.diff(first.astype(np.int64))) << 8 | labels
+        number = np.full(len(starts), -1, np.int64)
+        if not len(arcs):
+            return number
+        rows, states, passed = np.arange(len(starts)), np.full(len(starts), self.root, np.int64), np.zeros(len(starts), np.int64)
+        depth = 0
+        while len(rows):
+            done = sizes[rows] == depth
+            ends = done & (finals[states] > 0)
+            number[rows[ends]] = passed[ends]
+            rows, states, passed = rows[~done], states[~done], passed[~done]
+            key = states << 8 | letters[starts[rows] + depth]
+            arc = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
+            on = arcs[arc] == key
+            rows, arc = rows[on], arc[on]
+            states, passed = targets[arc].astype(np.int64), passed[on] + outputs[arc]
+            depth += 1
+        return number
