@@ -2,8 +2,9 @@
 
 1. Terms and stems that mark toxic documents are learned from labelled rows and
    laid out as a trie.
-2. Every distinct word of a text runs a Levenshtein automaton over that trie, so
-   misspelled terms are found without listing their variants.
+2. Every distinct word of a block of texts runs a Levenshtein automaton over that trie, so
+   misspelled terms are found without listing their variants. All words take the step
+   to a node of the trie together; those whose automaton has no state left stay behind.
 3. A window of words around each hit separates quotation (quote marks, verbs of
    saying, warnings about a word) from abuse (address in the second person, other
    hits nearby). A logistic model of these counts gives the score.
@@ -14,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,18 +23,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import held_out, sample_rows, text_blocks
+from tidewheel.llm.common import held_out, put, sample_rows, schema_with, text_blocks
 
 TRAIN_ROWS = 8_000
 """Labelled rows that a model is learned from, about; all of them if there are fewer."""
-MAX_TERMS = 2_000
-MIN_STEM, MAX_STEM = 4, 12
+LONGEST_STEM = 40
+"""Letters of a front of a word that may become a term; longer words become terms whole."""
 MIN_DOCS = 4
 MIN_SHARE = 0.02
 MIN_LOG_ODDS = 3.0
 WINDOW = 8
-MEMO = 300_000
 FEATURES = 8
+MOST_EDITS = 2
+TOGETHER = 1 << 16
+"""Words that run through the trie at a time."""
+_FAR = 100
 
 _WORD = re.compile(r"[^\W_]+")
 # Small cue lists for the window.
@@ -45,7 +49,6 @@ QUOTES = "\"“”„«»‘’`"
 
 
 Hit = tuple[str, float, int]
-Lookup = Callable[[str], dict[str, Hit]]
 
 
 def words_of(text: str) -> list[str]:
@@ -54,28 +57,33 @@ def words_of(text: str) -> list[str]:
 
 def allowed_edits(length: int) -> int:
     """Short terms must match exactly; longer ones may be off by one or two edits."""
-    return 0 if length < 5 else 1 if length < 9 else 2
+    return 0 if length < 5 else 1 if length < 9 else MOST_EDITS
 
 
 @dataclass
 class Lexicon:
     """A trie of terms with weights; ``stem`` terms match the front of a word.
 
-    ``find`` walks the trie with the states of a Levenshtein automaton for the word;
-    a branch is left as soon as no state is within the edits that terms below it
-    allow. The first letter has to agree.
+    ``find_all`` walks the trie with the states of a Levenshtein automaton for each word:
+    after a front of a term, the fewest edits that turn it into each front of the word of
+    nearly the same length. A branch is left by the words that have no state within the
+    edits that terms below it allow.
     """
 
     terms: dict[str, tuple[float, bool]]
     root: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        for term, (weight, stem) in self.terms.items():
+        for term, (_, stem) in self.terms.items():
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
-            node[""] = (term, weight, stem)
+            node[""] = (term, stem)
         self._depths(self.root, 0)
+        # of terms with as many edits the heaviest is taken, then the first
+        order = sorted(self.terms, key=lambda term: (-self.terms[term][0], term))
+        self.order = order
+        self.rank = {term: n for n, term in enumerate(order)}
 
     def _depths(self, node: dict, depth: int) -> int:
         """Notes the most edits any term below a node allows."""
@@ -88,46 +96,62 @@ class Lexicon:
 
     def find(self, word: str) -> Hit | None:
         """(term, weight, edits) of the closest, then heaviest term in ``word``, or None."""
-        child = self.root.get(word[:1])
-        if not child:
-            return None
-        best: tuple[int, float, str] | None = None
-        size = len(word)
-        todo = [(child, {1: 0})]
+        return self.find_all([word]).get(word)
+
+    def find_all(self, words: list[str]) -> dict[str, Hit]:
+        """The hits of those words that have one."""
+        found: dict[str, Hit] = {}
+        for begin in range(0, len(words) if self.terms else 0, TOGETHER):
+            part = words[begin : begin + TOGETHER]
+            best = self._best(part)
+            for i in np.flatnonzero(best < _FAR * len(self.order)).tolist():
+                edits, rank = divmod(int(best[i]), len(self.order))
+                term = self.order[rank]
+                found[part[i]] = (term, self.terms[term][0], edits)
+        return found
+
+    def _best(self, words: list[str]) -> np.ndarray:
+        """Edits times the number of terms, plus the rank of the term, of each word's best."""
+        k, n = MOST_EDITS, len(self.order)
+        # only these letters of a word can meet a term
+        width = max(map(len, self.order)) + 2 * k + 1
+        sizes = np.array([len(word) for word in words])
+        codes = np.array([word[:width] for word in words], f"<U{width}").view(np.uint32).reshape(len(words), width)
+        best = np.full(len(words), _FAR * n)
+        # column c of the states: c - k more letters of the word are used than of the term
+        offset = np.arange(-k, k + 1)
+        first = np.where((offset >= 0) & (offset <= sizes[:, None]), offset, _FAR).astype(np.int8)
+        todo = [(self.root, 0, np.arange(len(words)), first)]
         while todo:
-            node, states = todo.pop()
-            end = node.get("")
-            if end:
-                term, weight, stem = end
-                edits = min(states.values()) if stem else states.get(size, 9)
-                if edits <= allowed_edits(len(term)):
-                    found = (edits, -weight, term)
-                    best = found if best is None else min(best, found)
-            for letter, below in node.items():
-                if len(letter) == 1:
-                    after = step(states, word, letter, below["edits"])
-                    if after:
-                        todo.append((below, after))
-        return None if best is None else (best[2], -best[1], best[0])
-
-
-def step(states: dict[int, int], word: str, letter: str, edits: int) -> dict[int, int]:
-    """States of the automaton after a letter of a term: letters of ``word`` used -> edits."""
-    after: dict[int, int] = {}
-    size = len(word)
-
-    def reach(at: int, cost: int) -> None:
-        while cost <= edits and cost < after.get(at, 9):
-            after[at] = cost
-            at, cost = at + 1, cost + 1
-            if at > size:
-                break
-
-    for at, cost in states.items():
-        reach(at, cost + 1)
-        if at < size:
-            reach(at + 1, cost + (word[at] != letter))
-    return after
+            node, depth, rows, states = todo.pop()
+            if "" in node:
+                term, stem = node[""]
+                if stem:
+                    edits = states.min(1)
+                else:
+                    column = sizes[rows] - depth + k
+                    near = (column >= 0) & (column <= 2 * k)
+                    edits = np.where(near, states[np.arange(len(rows)), np.clip(column, 0, 2 * k)], _FAR)
+                hits = np.flatnonzero(edits <= allowed_edits(depth))
+                best[rows[hits]] = np.minimum(best[rows[hits]], edits[hits].astype(np.int64) * n + self.rank[term])
+            if len(node) == 1 + ("" in node):
+                continue
+            used = depth + offset
+            inside = (used >= 0) & (used < sizes[rows, None])
+            letters = np.where(inside, codes[rows][:, np.clip(used, 0, width - 1)], 0)
+            for letter, child in node.items():
+                if len(letter) != 1:
+                    continue
+                after = np.where(inside, states + (letters != ord(letter)), _FAR).astype(np.int8)
+                np.minimum(after[:, :-1], states[:, 1:] + 1, out=after[:, :-1])
+                for column in range(1, 2 * k + 1):
+                    more = np.where(depth + 1 + offset[column] <= sizes[rows], after[:, column - 1] + 1, _FAR)
+                    np.minimum(after[:, column], more, out=after[:, column], casting="unsafe")
+                np.minimum(after, _FAR, out=after)
+                alive = np.flatnonzero(after.min(1) <= child["edits"])
+                if len(alive):
+                    todo.append((child, depth + 1, rows[alive], after[alive]))
+        return best
 
 
 @dataclass
@@ -147,7 +171,7 @@ def fronts_of(text: str) -> set[str]:
     fronts = set()
     for word in set(words_of(text)):
         fronts.add(word + "$")
-        fronts.update(word[:n] for n in range(MIN_STEM, min(MAX_STEM, len(word)) + 1))
+        fronts.update(word[:n] for n in range(1, min(LONGEST_STEM, len(word)) + 1))
     return fronts
 
 
@@ -192,7 +216,9 @@ def learn_terms(counts: list[tuple[str, int, int]], clean: int, toxic: int) -> d
     for term, c, t in counts:
         if term.endswith("$"):
             ends[term[:-1]] = t
-            continue
+            if len(term) - 1 <= LONGEST_STEM:
+                continue
+            term = term[:-1]
         weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
         if t >= least_docs(toxic) and weight >= MIN_LOG_ODDS and c <= 0.1 * t:
             odds[term] = (t, weight)
@@ -206,9 +232,8 @@ def learn_terms(counts: list[tuple[str, int, int]], clean: int, toxic: int) -> d
         covered = odds[term][0]
         while longer := [x for x in children.get(term, ()) if odds[x][0] >= 0.95 * covered]:
             term = max(longer, key=lambda x: odds[x][0])
-        chosen[term] = (odds[term][1], ends[term] < 0.8 * odds[term][0], odds[term][0])
-    first = sorted(chosen, key=lambda x: (-chosen[x][0] * chosen[x][2], x))[:MAX_TERMS]
-    return {term: chosen[term][:2] for term in first}
+        chosen[term] = (odds[term][1], ends[term] < 0.8 * odds[term][0])
+    return {term: (weight, stem) for term, (weight, stem) in chosen.items()}
 
 
 def quoted(text: str, start: int, end: int) -> bool:
@@ -218,29 +243,38 @@ def quoted(text: str, start: int, end: int) -> bool:
     )
 
 
-def measure(text: str, lookup: Lookup) -> list[float]:
-    """The features of one text: hits that abuse and hits that quote, by exactness.
+def measured(texts: list[str], lexicon: Lexicon) -> np.ndarray:
+    """The features of texts, a row for each; every distinct word is looked up once."""
+    lowered = [text.lower() for text in texts]
+    chunks: set[str] = set()
+    for text in lowered:
+        chunks.update(text.split())
+    words = {chunk: _WORD.findall(chunk) for chunk in chunks}
+    hits = lexicon.find_all(sorted({word for own in words.values() for word in own}))
+    marked = {chunk for chunk, own in words.items() if not hits.keys().isdisjoint(own)}
+    rows = [
+        measure(text, hits) if not marked.isdisjoint(text.split()) else [0.0] * FEATURES
+        for text in lowered
+    ]
+    return np.array(rows).reshape(-1, FEATURES)
+
+
+def measure(text: str, hits: dict[str, Hit]) -> list[float]:
+    """The features of one lower-case text: hits that abuse and hits that quote, by exactness.
 
     Each hit weighs in with its log odds. A hit is a quotation if quote marks stand
     close around it or a verb of saying stands in its window, unless the window also
     addresses the reader.
     """
-    lowered = text.lower()
-    hit_words = {}
-    for chunk in set(lowered.split()):
-        if found := lookup(chunk):
-            hit_words.update(found)
-    if not hit_words:
-        return [0.0] * FEATURES
-    spans = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(lowered)]
-    places = [i for i, span in enumerate(spans) if span[2] in hit_words]
+    spans = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
+    places = [i for i, span in enumerate(spans) if span[2] in hits]
     abuse = [0.0, 0.0]
     quote = [0.0, 0.0]
     abused: list[str] = []
     address = clustered = 0
     for n, i in enumerate(places):
         start, end, word = spans[i]
-        _, weight, edits = hit_words[word]
+        _, weight, edits = hits[word]
         window = {spans[j][2] for j in range(max(0, i - WINDOW), min(len(spans), i + WINDOW + 1))}
         direct = not window.isdisjoint(ADDRESS)
         address += direct
@@ -256,38 +290,21 @@ def measure(text: str, lookup: Lookup) -> list[float]:
         math.log1p(abuse[1]),
         math.log1p(quote[0]),
         math.log1p(quote[1]),
-        float(len({hit_words[word][0] for word in abused})),
+        float(len({hits[word][0] for word in abused})),
         math.log1p(1000 * len(abused) / len(spans)),
         math.log1p(address),
         math.log1p(clustered),
     ]
 
 
-def memoised(lexicon: Lexicon) -> Lookup:
-    """Hits by word in a chunk of a text between white space; chunks are remembered."""
-    memo: dict[str, dict[str, Hit]] = {}
-
-    def lookup(chunk: str) -> dict[str, Hit]:
-        hits = memo.get(chunk)
-        if hits is None:
-            if len(memo) >= MEMO:
-                memo.clear()
-            hits = {word: hit for word in _WORD.findall(chunk) if (hit := lexicon.find(word))}
-            if len(chunk) < 100:
-                memo[chunk] = hits
-        return hits
-
-    return lookup
-
-
 def _measured(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = memoised(lexicon)
         for batch in batches:
-            rows = [measure(text or "", lookup) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {"features": pa.array(rows, pa.list_(pa.float64())), "toxic": batch.column("toxic")}
-            )
+            for block in text_blocks(batch):
+                rows = measured([text or "" for text in block.column("text").to_pylist()], lexicon)
+                yield pa.RecordBatch.from_pydict(
+                    {"features": pa.array(rows.tolist(), pa.list_(pa.float64())), "toxic": block.column("toxic")}
+                )
 
     return run
 
@@ -377,22 +394,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     return Model(lexicon, *fit_logistic(x, y))
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxic_score`` (0 to 1) appended; one narrow pass over whole texts.
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxic_score") -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1) appended; one narrow pass over whole texts.
 
-    Null and empty texts have no hits and get the score of such a text. Repeated
-    rows get the same score. The only input of a score is the text.
+    An input column of that name is replaced. Null and empty texts have no hits and get
+    the score of such a text; a text's score depends on nothing but the text, so rows that
+    repeat get the same, and an empty table gives an empty one. Words are looked up
+    block by block; nothing is kept from one block to the next.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = memoised(model.lexicon)
         for batch in batches:
             for block in text_blocks(batch, text_col):
-                rows = [measure(text or "", lookup) for text in block.column(text_col).to_pylist()]
-                found = model.scores(np.array(rows).reshape(-1, FEATURES))
-                yield pa.RecordBatch.from_arrays(
-                    [*block.columns, pa.array(found, pa.float64())], [*block.schema.names, "toxic_score"]
-                )
+                texts = [text or "" for text in block.column(text_col).to_pylist()]
+                found = model.scores(measured(texts, model.lexicon))
+                yield put(block, {score_col: pa.array(found, pa.float64())})
 
-    schema = docs.withColumn("toxic_score", F.lit(0.0)).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema_with(docs, **{score_col: "double"}))
