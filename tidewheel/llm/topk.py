@@ -3,9 +3,10 @@
 Largest inner products are made nearest neighbours by one more coordinate that
 gives all candidates the same norm. A candidate is keyed by its nearest pivot and
 its distance to it; the distances of a pivot's candidates are cut into rings
-(annuli). A query first visits the ring that promises most; the k-th score found
-there is its bar. By the triangle inequality no candidate of a ring can score
-above a bound, so a query then visits only those rings whose bound reaches its bar.
+(annuli). By the triangle inequality no candidate of a ring can score above a bound. A query
+sorts the rings by their bounds and visits them in that order, in rounds of more and more
+rings; the k-th score found so far is its bar, and it stops at the first ring whose bound
+does not reach the bar. Candidates only travel to the blocks of queries that visit their ring.
 """
 
 from __future__ import annotations
@@ -21,13 +22,17 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.common import staged
 
-PIVOTS = 16
+PIVOTS, MOST_PIVOTS = 16, 1024
+"""Pivots: an eighth of the square root of the candidates, but from 16 to 1024, so that
+the table of rings stays small."""
 RINGS = 4
-"""Both are fixed, so that the table of rings has at most PIVOTS * RINGS rows."""
+FIRST, GROWTH = 1, 4
+"""Rings that a query visits in the first round, and how many times more in each later one."""
 PART_ROWS = 4096
 QUERY_ROWS = 2048
 SLICE = 256
 EXACT = float(1 << 53)
+LOWEST = np.iinfo(np.int64).min
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -91,7 +96,8 @@ def prepare(vectors: DataFrame, scale: float, width: int) -> DataFrame:
 def build(table: DataFrame, width: int, norm2: float) -> tuple[DataFrame, Index]:
     """Candidates with their place (ring number and part), and the index."""
     spark = table.sparkSession
-    drawn = table.orderBy(F.xxhash64("vec_id", F.lit("pivot")), "vec_id").limit(PIVOTS).collect()
+    wanted = min(max(int(table.count() ** 0.5) // 8, PIVOTS), MOST_PIVOTS)
+    drawn = table.orderBy(F.xxhash64("vec_id", F.lit("pivot")), "vec_id").limit(wanted).collect()
     pivots = np.stack([np.frombuffer(row["v"]) for row in drawn])
     index = Index(pivots, norm2, width, np.zeros((0, 5)))
 
@@ -121,6 +127,16 @@ def build(table: DataFrame, width: int, norm2: float) -> tuple[DataFrame, Index]
     return placed, index
 
 
+def leading(scores: np.ndarray, k: int) -> np.ndarray:
+    """Marks the ``k`` highest scores of each row; of equal ones those further left."""
+    size = scores.shape[1]
+    if size <= k:
+        return np.ones(scores.shape, bool)
+    bar = np.partition(scores, size - k, axis=1)[:, size - k, None]
+    above, level = scores > bar, scores == bar
+    return above | (level & (np.cumsum(level, axis=1) <= k - above.sum(1, keepdims=True)))
+
+
 def visit(queries: DataFrame, placed: DataFrame, parts: list[int], blocks: int, k: int, width: int) -> DataFrame:
     """Each query (query_id, q, bar, places) against the rings it names; at most k rows
     from each part of a ring, none below the bar."""
@@ -133,21 +149,12 @@ def visit(queries: DataFrame, placed: DataFrame, parts: list[int], blocks: int,
         ids = right["vec_id"].to_numpy()
         x, q = matrix(right["v"], width), matrix(left["q"], width)
         own, bars = left["query_id"].to_numpy(), left["bar"].to_numpy()
-        size, found = len(ids), []
-        order = (size - 1 - np.arange(size)).astype(np.int64)  # smaller ids first among ties
+        found = []
         for begin in range(0, len(q), SLICE):
             some = slice(begin, begin + SLICE)
             scores = np.rint(q[some] @ x.T).astype(np.int64)
-            key = scores * size + order
-            key[own[some, None] == ids[None, :]] = np.iinfo(np.int64).min
-            if size > k:
-                best = np.argpartition(key, size - k, axis=1)[:, size - k :]
-            else:
-                best = np.broadcast_to(np.arange(size), key.shape)
-            row = np.repeat(np.arange(len(key)), best.shape[1])
-            col = best.ravel()
-            ok = (key[row, col] > np.iinfo(np.int64).min) & (scores[row, col] >= bars[some][row])
-            row, col = row[ok], col[ok]
+            scores[own[some, None] == ids[None, :]] = LOWEST
+            row, col = np.nonzero(leading(scores, k) & (scores >= bars[some][:, None]) & (scores > LOWEST))
             found.append(
                 pd.DataFrame({"query_id": own[some][row], "vec_id": ids[col], "score": scores[row, col]})
             )
@@ -160,7 +167,9 @@ def visit(queries: DataFrame, placed: DataFrame, parts: list[int], blocks: int,
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.get(part_counts, F.col("place")) - 1)))
         .select("query_id", "q", "bar", "place", "part", "block")
     )
-    held = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # a part goes to the blocks that ask for it, and to no other
+    asking = asked.select(*(F.col(name).alias(name) for name in ("place", "part", "block"))).distinct()
+    held = placed.join(asking, ["place", "part"])
     return (
         asked.groupBy("place", "part", "block")
         .cogroup(held.groupBy("place", "part", "block"))
@@ -187,7 +196,8 @@ def search(
     with another id. Scores are inner products of the floors of ``scale`` times the
     components. Ties go to the smaller id. Null vectors, null ids and vectors with
     null or non-finite components take no part. Shorter vectors count as filled up
-    with zeros. Rows that repeat an id are candidates of their own.
+    with zeros. Rows that repeat an id are candidates of their own; of a query's rows the
+    one whose packed components come first asks.
     Components too large for exact sums of products raise ``OverflowError``.
     """
     spark = df.sparkSession
@@ -208,28 +218,38 @@ def search(
     placed = staged(placed, "placed")
     parts = [int(-(-n // PART_ROWS)) for n in index.rings[:, 2]]
 
-    def first_ring(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    asked = table.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
+    blocks = max(1, -(-asked.count() // QUERY_ROWS))
+    found = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    low, width_now = 0, FIRST
+    while low < len(index.rings):
+        bars = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("bar")).where(F.col("n") == k)
+        barred = asked.join(bars.drop("n"), "query_id", "left").fillna(int(LOWEST), ["bar"])
+        visitors = barred.mapInPandas(next_rings(index, width, low, low + width_now), "query_id long, q binary, bar long, places array<int>")
+        visitors = staged(visitors, "visits")
+        if visitors.isEmpty():
+            break
+        more = visit(visitors, placed, parts, blocks, k, width)
+        found = staged(best(found.union(more), k).drop("rank"), "best")
+        low, width_now = low + width_now, GROWTH * width_now
+    return best(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def next_rings(index: Index, width: int, low: int, high: int):
+    """Queries with those of their rings ``low`` to ``high``, in the order of bounds, that can
+    still reach the bar; queries without one are left out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                promising = index.bounds(matrix(frame["q"], width)).argmax(1)
-                yield frame.assign(bar=np.iinfo(np.int64).min, places=[[int(i)] for i in promising])
+                places = wanted_rings(index.bounds(matrix(frame["q"], width)), frame["bar"].to_numpy(), low, high)
+                frame = frame.assign(places=places)
+                yield frame[frame["places"].map(len) > 0]
 
-    def other_rings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                bounds = index.bounds(matrix(frame["q"], width))
-                promising, bars = bounds.argmax(1), frame["bar"].to_numpy()
-                wanted = (bounds >= bars[:, None]) & (np.arange(bounds.shape[1])[None, :] != promising[:, None])
-                yield frame.assign(places=[np.flatnonzero(row).tolist() for row in wanted])
-
-    kind = "query_id long, q binary, bar long, places array<int>"
-    asked = table.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    asked = asked.dropDuplicates(["query_id"])
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    begun = staged(
-        best(visit(asked.mapInPandas(first_ring, kind), placed, parts, blocks, k, width), k), "first"
-    )
-    bars = begun.where(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
-    barred = asked.join(bars, "query_id", "left").fillna(int(np.iinfo(np.int64).min), ["bar"])
-    later = visit(barred.mapInPandas(other_rings, kind), placed, parts, blocks, k, width)
-    return best(begun.drop("rank").union(later), k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return run
+
+
+def wanted_rings(bounds: np.ndarray, bars: np.ndarray, low: int, high: int) -> list[list[int]]:
+    order = np.argsort(-bounds, axis=1, kind="stable")[:, low:high]
+    reach = np.take_along_axis(bounds, order, axis=1) >= bars[:, None]
+    return [row[ok].tolist() for row, ok in zip(order, reach, strict=True)]
