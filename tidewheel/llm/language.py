@@ -12,16 +12,16 @@ logits per bucket; a text's logits are then a mean over looked-up rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import held_out, sample_rows, text_blocks
+from tidewheel.llm.common import held_out, put, sample_rows, schema_with, text_blocks
 
 TRAIN_ROWS = 4_000
 """Rows that the model is learned from, about; all of them if there are fewer."""
@@ -33,7 +33,7 @@ RATE = 0.5
 ACCEPT = 0.99
 """Share of right calibration predictions that the rejection threshold keeps."""
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 # Bytes that are no letters in ASCII become blanks; bytes of longer sequences stay.
 _CLEAN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -92,8 +92,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, shares = [], []
         for text in batch.column("text").to_pylist():
+            # the same places as in scoring
             buckets, _ = subwords([text])
-            found, counts = np.unique(buckets[:, :-2] if buckets.shape[1] > 2 else buckets, return_counts=True)
+            found, counts = np.unique(buckets, return_counts=True)
             ids.append(found.astype(np.int32))
             shares.append((counts / counts.sum()).astype(np.float32))
         yield pa.RecordBatch.from_pydict(
@@ -105,13 +106,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def train(ids: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, classes: int, seed: int = 7):
+def train(
+    ids: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, classes: int, seed: int = 7, rate: float = RATE
+):
     """Embedding and linear map after ``EPOCHS`` passes of mini-batch gradient descent."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     linear = np.zeros((DIM, classes), np.float32)
     for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+        step = rate * (1 - epoch / EPOCHS)
         order = rng.permutation(len(y))
         for begin in range(0, len(order), BATCH):
             rows = order[begin : begin + BATCH]
@@ -119,9 +122,9 @@ def train(ids: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, classe
             slope = softmax(mean @ linear)
             slope[np.arange(len(rows)), y[rows]] -= 1
             back = slope @ linear.T
-            linear -= rate * mean.T @ slope
+            linear -= step * mean.T @ slope
             for r, g in zip(rows, back, strict=True):
-                embed[ids[r]] -= (rate * 20 * shares[r])[:, None] * g
+                embed[ids[r]] -= (step * 20 * shares[r])[:, None] * g
     return embed, linear
 
 
@@ -169,7 +172,8 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``lang_score`` and ``lang_rejected`` appended.
+    """``docs`` with ``lang_pred``, ``lang_score`` and ``lang_rejected`` appended; input
+    columns of these names are replaced.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected, and
     so is everything without a model. Other texts get the likeliest language;
@@ -189,20 +193,13 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
                     names[known] = [model.languages[i] for i in p.argmax(1)]
                     score[known] = p.max(1)
                 rejected = ~known | (score < (model.threshold if model else 1.0))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *block.columns,
-                        pa.array(names, pa.string()),
-                        pa.array(score, pa.float64()),
-                        pa.array(rejected, pa.bool_()),
-                    ],
-                    [*block.schema.names, "lang_pred", "lang_score", "lang_rejected"],
+                yield put(
+                    block,
+                    {
+                        "lang_pred": pa.array(names, pa.string()),
+                        "lang_score": pa.array(score, pa.float64()),
+                        "lang_rejected": pa.array(rejected, pa.bool_()),
+                    },
                 )
 
-    schema = (
-        docs.withColumn("lang_pred", F.lit(""))
-        .withColumn("lang_score", F.lit(0.0))
-        .withColumn("lang_rejected", F.lit(True))
-        .schema
-    )
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema_with(docs, lang_pred="string", lang_score="double", lang_rejected="boolean"))

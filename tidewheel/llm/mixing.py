@@ -46,7 +46,9 @@ def targets(sizes: DataFrame) -> DataFrame:
     A target is ``weight * level``, but never above ``MAX_EPOCHS`` times the source.
     The level solves "all targets sum up to ``SHARE`` of all words": with sources
     sorted by the level at which they reach their cap, it is the first one that
-    the next source does not reach (and the largest such, as later ones fall). The window spans one row per source.
+    the next source does not reach (and the largest such, as later ones fall). The window
+    spans one row per source: sources are datasets or sites that someone gives a
+    weight to, and a million of them still sort in one task.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.array(*map(F.lit, WEIGHTS))[(F.row_number().over(by_name) - 1) % len(WEIGHTS)]
@@ -68,9 +70,18 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    row_col: str | None = None,
+) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken), one row for each input row.
 
+    ``row_col`` is a column of ``docs`` that tells rows apart, to be passed on as ``row``:
+    ids may be null and may repeat.
+
     ``taken`` counts the words that the mix takes of a document: all of it for each
     complete epoch, and all, some or none of it in the epoch that is not complete.
     So the words taken of a source sum up to its target, rounded. Null and empty
@@ -87,6 +98,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             F.col(source_col).alias("source"),
             words(F.col(text_col)).alias("size"),
             exponential_key(F.col(id_col), quality(F.col(text_col))).alias("key"),
+            *([F.col(row_col).alias("row")] if row_col else []),
         ),
         "mix",
     )
@@ -106,7 +118,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     within = (
         Window.partitionBy("tag", "range")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", *(["row"] if row_col else []))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     budget = F.round("target").cast("long")
@@ -126,4 +138,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "source_size",
         "target",
         (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
+        *(["row"] if row_col else []),
     )

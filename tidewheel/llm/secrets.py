@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import staged
+from tidewheel.llm.common import free_name, staged
 
 # What each kind looks like.
 ASSIGN = (
@@ -75,10 +75,13 @@ def _candidate(text: Column) -> Column:
     return (delimited & text.rlike(ASSIGN)) | (text.rlike(LONG_TOKEN) & runs)
 
 
-def scan(docs: DataFrame, text_col: str = "text", owner_col: str = "source") -> tuple[DataFrame, DataFrame]:
+def scan(
+    docs: DataFrame, text_col: str = "text", owner_col: str = "source", spans_col: str = "_spans"
+) -> tuple[DataFrame, DataFrame]:
     """Rows that hold candidates, and the rest; both with all columns of ``docs``.
 
-    The first gains ``_spans``, sorted by start and kind: (start, rank, stop, hash,
+    The first gains ``spans_col``, which replaces an input column of that name, sorted
+    by start and kind: (start, rank, stop, hash,
     n_repositories, n_owners, live), positions in code points, the end exclusive.
     ``rank`` counts in ``KINDS``. Base kinds keep all their spans whatever the counts
     say. The last kind, long tokens of mixed characters outside the base spans, is
@@ -94,14 +97,16 @@ def scan(docs: DataFrame, text_col: str = "text", owner_col: str = "source") ->
     outside = lambda spans: lambda x: ~F.exists(
         spans, lambda y: (x["start"] < y["stop"]) & (y["start"] < x["stop"])
     )
-    hits = docs.where(_candidate(text)).withColumn("_base", _base(text))
-    hits = hits.withColumn("_more", F.filter(_spans(text, OPAQUE, 3), outside(F.col("_base"))))
-    hits = hits.withColumn("_row", F.monotonically_increasing_id())
+    # a name of a column of the input is never taken for a column that is only passed on
+    row, base, more = (free_name(docs, name) for name in ("_row", "_base", "_more"))
+    hits = docs.where(_candidate(text)).withColumn(base, _base(text))
+    hits = hits.withColumn(more, F.filter(_spans(text, OPAQUE, 3), outside(F.col(base))))
+    hits = hits.withColumn(row, F.monotonically_increasing_id())
     hits = staged(hits, "secrets")
     each = hits.select(
-        "_row",
+        F.col(row).alias("_row"),
         F.col(owner_col).alias("_owner"),
-        F.explode(F.concat("_base", "_more")).alias("_span"),
+        F.explode(F.concat(base, more)).alias("_span"),
     )
     by_owner = (
         each.select("_row", "_owner", F.col("_span.hash").alias("hash"))
@@ -124,9 +129,10 @@ def scan(docs: DataFrame, text_col: str = "text", owner_col: str = "source") ->
             ).alias("_spans")
         )
     )
-    kind = dict(judged.dtypes)["_spans"]
-    hits = hits.join(judged, "_row", "left").withColumn("_spans", F.coalesce("_spans", F.array().cast(kind)))
-    return hits.drop("_row", "_base", "_more"), rest
+    found = F.coalesce("judged._spans", F.array().cast(dict(judged.dtypes)["_spans"]))
+    joined = hits.alias("hits").join(judged.alias("judged"), F.col(f"hits.{row}") == F.col("judged._row"), "left")
+    columns = [F.col(f"hits.{name}") for name in docs.columns if name.lower() != spans_col.lower()]
+    return joined.select(*columns, found.alias(spans_col)), rest
 
 
 def label(spans: Column) -> Column:
