@@ -2,8 +2,9 @@
 
 The content view averages hashed subword embeddings of the whole text under a linear
 softmax; the metadata view is a logistic model of source, language, size and line
-layout. Both start from the same labelled rows. In every round each view marks
-the unlabelled rows it is most sure of, and these become training rows of the other
+layout. Both start from the same labelled rows. In every round both views score all
+documents without a label; a histogram of the scores over the corpus gives the thresholds
+beyond which a view is sure, and what it is sure of becomes training rows of the other
 view. In the end both views are calibrated together on labelled rows that neither
 has seen, and the combination scores all documents.
 """
@@ -11,7 +12,7 @@ has seen, and the combination scores all documents.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,17 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import held_out, sample_rows, text_blocks
+from tidewheel.llm.common import held_out, put, release, sample_rows, schema_with, staged, text_blocks
 from tidewheel.llm.language import subwords, text_logits, train
 from tidewheel.llm.toxicity import newton
 
 LABELLED_ROWS = 3_000
-POOL_ROWS = 1_500
-"""Labelled and unlabelled rows of the sample, about; all of them if there are fewer."""
+"""Labelled rows that the views start from, about; all of them if there are fewer."""
+PSEUDO_ROWS = 1_000
+"""Pseudo-labelled rows that a view is trained on in a round, about: a sample of those that
+the other view is sure of."""
 ROUNDS = 3
-SURE = 100
-"""Pseudo-labels that each view hands over in a round, divided as the labels are."""
+SURE_SHARE = 0.05
+"""The share of all unlabelled documents that a view is sure of, divided as the labels are."""
+RATE = 0.1
+"""Learning rate of the content view; the rows that a view is sure of are much alike, and
+a batch of them moves the weights far."""
 SLOTS = 16
+BINS_PER_LOGIT = 64
 
 
 @dataclass
@@ -68,6 +75,28 @@ def layout_of(text: str, source: str | None, lang: str | None) -> list[float]:
     return out
 
 
+@dataclass
+class Rows:
+    """Described documents: subword buckets with their shares, and the layout of each."""
+
+    ids: list[np.ndarray]
+    shares: list[np.ndarray]
+    layout: np.ndarray
+    label: np.ndarray
+
+    def take(self, rows) -> Rows:
+        picked = np.arange(len(self.ids))[rows].tolist()
+        return Rows([self.ids[i] for i in picked], [self.shares[i] for i in picked], self.layout[picked], self.label[picked])
+
+    def __add__(self, other: Rows) -> Rows:
+        return Rows(
+            self.ids + other.ids,
+            self.shares + other.shares,
+            np.concatenate([self.layout, other.layout]),
+            np.concatenate([self.label, other.label]),
+        )
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, shares, layouts = [], [], []
@@ -81,7 +110,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),
-                "quality": batch.column("quality"),
+                "label": batch.column("label"),
                 "ids": pa.array(ids, pa.list_(pa.int32())),
                 "shares": pa.array(shares, pa.list_(pa.float32())),
                 "layout": pa.array(layouts, pa.list_(pa.float64())),
@@ -89,80 +118,141 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def co_train(ids: list, shares: list, layout: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """``y`` is 0, 1, or -1 where a row has no label."""
-    known = np.flatnonzero(y >= 0)
-    held, first = known[4::5], np.delete(known, np.s_[4::5])
-    share = y[first].mean()
-    own = [dict(zip(first.tolist(), y[first].tolist(), strict=True)) for _ in range(2)]
-    mean, scale = layout.mean(0), np.maximum(layout.std(0), 1e-6)
+def described(docs: DataFrame, marks: DataFrame) -> Rows:
+    """The documents that ``marks`` (doc_id, label) names, one for each id: of those that
+    share an id the one whose text has the smallest hash. ``marks`` is a bounded sample."""
+    one = F.min_by(F.struct("text", "source", "lang"), F.struct(F.xxhash64("text"), "source", "lang")).alias("row")
+    rows = docs.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "label").agg(one)
+    kinds = "doc_id long, label int, ids array<int>, shares array<float>, layout array<double>"
+    table = rows.select("doc_id", "label", "row.*").mapInArrow(_described, kinds).toArrow().sort_by("doc_id")
+    layout = np.array(table.column("layout").to_pylist(), float).reshape(table.num_rows, 5 + 2 * SLOTS)
+    ids, shares = ([np.asarray(x.values) for x in table.column(name)] for name in ("ids", "shares"))
+    return Rows(ids, shares, layout, np.array(table.column("label").to_pylist(), int))
+
 
-    def fit_content() -> np.ndarray:
-        rows = sorted(own[0])
-        marks = np.array([own[0][i] for i in rows])
-        embed, top = train([ids[i] for i in rows], [shares[i] for i in rows], marks, 2)
-        return (embed @ top).astype(np.float32)
+@dataclass
+class Views:
+    """Both views as trained so far, and how layouts are scaled."""
 
-    def fit_layout() -> np.ndarray:
-        rows = sorted(own[1])
-        z = np.hstack([np.ones((len(rows), 1)), (layout[rows] - mean) / scale])
-        return newton(z, np.array([own[1][i] for i in rows], float), 1e-2)
+    table: np.ndarray
+    layout: np.ndarray
+    mean: np.ndarray
+    scale: np.ndarray
 
-    def content(table: np.ndarray, rows) -> np.ndarray:
-        gap = table[:, 1] - table[:, 0]
-        return np.array([shares[i] @ gap[ids[i]] for i in rows], float)
+    def content_of(self, rows: Rows) -> np.ndarray:
+        gap = self.table[:, 1] - self.table[:, 0]
+        return np.array([share @ gap[ids] for ids, share in zip(rows.ids, rows.shares, strict=True)], float)
 
-    table, weights = fit_content(), fit_layout()
-    for _ in range(rounds):
-        pool = np.array([i for i in range(len(y)) if y[i] < 0 and i not in own[0] and i not in own[1]])
-        if not len(pool):
-            break
-        views = content(table, pool), linear(layout[pool], weights, mean, scale)
-        for view, other in zip(views, (1, 0), strict=True):
-            order = np.lexsort((pool, view))
-            low, high = round(SURE * (1 - share)), round(SURE * share)
-            # only where the view itself is on that side
-            own[other].update((int(pool[i]), 0) for i in order[:low] if view[i] < 0)
-            own[other].update((int(pool[i]), 1) for i in order[::-1][:high] if view[i] > 0)
-        table, weights = fit_content(), fit_layout()
-    rows = held if len(held) and len(set(y[held])) == 2 else first
-    z = np.stack([np.ones(len(rows)), content(table, rows), linear(layout[rows], weights, mean, scale)], 1)
-    return Model(table[:, 1:] - table[:, :1], weights, mean, scale, newton(z, y[rows].astype(float), 1e-3))
+    def layout_of(self, rows: Rows) -> np.ndarray:
+        return linear(rows.layout, self.layout, self.mean, self.scale)
+
+    def of_texts(self, texts: list[str], places: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        logits = text_logits(texts, self.table)
+        layout = np.array([layout_of(text, *place) for text, place in zip(texts, places, strict=True)])
+        return logits[:, 1] - logits[:, 0], linear(layout, self.layout, self.mean, self.scale)
+
+
+def train_views(content: Rows, layout: Rows, mean: np.ndarray, scale: np.ndarray) -> Views:
+    embed, top = train(content.ids, content.shares, content.label, 2, rate=RATE)
+    z = np.hstack([np.ones((len(layout.label), 1)), (layout.layout - mean) / scale])
+    return Views((embed @ top).astype(np.float32), newton(z, layout.label.astype(float), 1e-2), mean, scale)
+
+
+def view_scores(docs: DataFrame, views: Views) -> DataFrame:
+    """(doc_id, content, layout): the logits of both views for every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_blocks(batch):
+                texts = [text or "" for text in block.column("text").to_pylist()]
+                places = zip(block.column("source").to_pylist(), block.column("lang").to_pylist(), strict=True)
+                content, layout = views.of_texts(texts, list(places))
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": block.column("doc_id"), "content": content.astype(float), "layout": layout}
+                )
+
+    return docs.mapInArrow(run, "doc_id long, content double, layout double")
+
+
+def sure_limits(scores: DataFrame, view: str, share: float, good: float) -> tuple[float, float]:
+    """The limits that ``share`` of all scores lie beyond: above the upper one a part of
+    ``good`` of them, below the lower one the rest, and none on the wrong side of 0. They
+    are edges of a histogram over all documents, so reruns agree."""
+    step = F.floor(F.col(view) * BINS_PER_LOGIT).cast("int").alias("bin")
+    bins = sorted((row["bin"], row["count"]) for row in scores.groupBy(step).count().collect())
+    edges, counts = np.array([x for x, _ in bins]), np.array([n for _, n in bins])
+    total = counts.sum()
+    below, above = np.cumsum(counts), np.cumsum(counts[::-1])[::-1]
+    low = edges[below <= share * (1 - good) * total]
+    high = edges[above <= share * good * total]
+    return (
+        min(0.0, (low.max() + 1) / BINS_PER_LOGIT) if len(low) else -np.inf,
+        max(0.0, high.min() / BINS_PER_LOGIT) if len(high) else np.inf,
+    )
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    labelled_rows: int = LABELLED_ROWS,
+    pseudo_rows: int = PSEUDO_ROWS,
+    rounds: int = ROUNDS,
+    sure_share: float = SURE_SHARE,
 ) -> Model | None:
-    """Learns from labelled rows outside the held-out fifth and from unlabelled rows.
+    """Learns from labelled rows outside the held-out fifth and from all unlabelled documents.
 
-    Both samples are bounded by their parameters. ``None`` without both classes.
+    What comes to the driver is bounded by ``labelled_rows`` and ``pseudo_rows``; scores and
+    thresholds are of all unlabelled documents. Rows without an id, and labels that are
+    null or neither 0 nor 1, teach nothing. Null and empty texts count as texts without
+    subwords. ``None`` without both classes.
     """
     marks = (
         labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.max("quality").cast("int").alias("quality"))
+        .agg(F.max("quality").cast("int").alias("label"))
     )
-    some = F.broadcast(sample_rows(marks, F.col("doc_id"), labelled_rows))
-    rows = docs.select("doc_id", "text", "source", "lang")
-    known = rows.join(some, "doc_id")
-    pool = sample_rows(rows.where(~held_out(F.col("doc_id"))), F.col("doc_id"), pool_rows + labelled_rows)
-    pool = pool.join(some.select("doc_id"), "doc_id", "left_anti").withColumn("quality", F.lit(-1))
-    table = known.unionByName(pool).select("doc_id", "text", "source", "lang", "quality").mapInArrow(
-        _described, "doc_id long, quality int, ids array<int>, shares array<float>, layout array<double>"
-    ).toArrow()
-    y = np.array(table.column("quality").to_pylist(), int)
-    if not {0, 1} <= set(y.tolist()):
+    docs = docs.select("doc_id", "text", "source", "lang")
+    known = described(docs, sample_rows(marks, F.col("doc_id"), labelled_rows))
+    if not {0, 1} <= set(known.label.tolist()):
         return None
-    ids = [np.asarray(x.values) for x in table.column("ids")]
-    shares = [np.asarray(x.values) for x in table.column("shares")]
-    layout = np.array(table.column("layout").to_pylist())
-    names = table.column("doc_id").to_pylist()
-    order = sorted(range(len(y)), key=lambda i: (names[i], y[i], ids[i].tobytes(), shares[i].tobytes()))
-    return co_train([ids[i] for i in order], [shares[i] for i in order], layout[order], y[order])
+    named = F.col("doc_id").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(True))
+    unlabelled = docs.where(named).join(marks.select("doc_id"), "doc_id", "left_anti")
+
+    def exchange(views: Views, good: float) -> tuple[Rows, Rows]:
+        """What the content view and the layout view are sure of."""
+        scores = staged(view_scores(unlabelled, views), "views")
+        out = []
+        for view in ("content", "layout"):
+            low, high = sure_limits(scores, view, sure_share, good)
+            label = F.when(F.col(view) >= F.lit(float(high)), 1).when(F.col(view) < F.lit(float(low)), 0)
+            sure = scores.groupBy("doc_id").agg(F.min(label).alias("label")).where("label is not null")
+            out.append(described(unlabelled, sample_rows(sure, F.col("doc_id"), pseudo_rows)))
+        release(scores)
+        return out[0], out[1]
+
+    return co_train(known, exchange, rounds)
+
+
+def co_train(known: Rows, exchange: Callable[[Views, float], tuple[Rows, Rows]], rounds: int = ROUNDS) -> Model:
+    """Trains both views in turns: ``exchange`` gives what either view is sure of, which the
+    other one is trained on in the next round, beside the rows with labels."""
+    held = np.zeros(len(known.label), bool)
+    held[4::5] = True
+    first, checks = known.take(~held), known.take(held)
+    mean, scale = known.layout.mean(0), np.maximum(known.layout.std(0), 1e-6)
+    views = train_views(first, first, mean, scale)
+    for _ in range(rounds):
+        from_content, from_layout = exchange(views, first.label.mean())
+        views = train_views(first + from_layout, first + from_content, mean, scale)
+    rows = checks if len(set(checks.label.tolist())) == 2 else first
+    z = np.stack([np.ones(len(rows.label)), views.content_of(rows), views.layout_of(rows)], 1)
+    both = newton(z, rows.label.astype(float), 1e-3)
+    return Model(views.table[:, 1:] - views.table[:, :1], views.layout, mean, scale, both)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (text, source, lang) with ``quality_score`` from 0 to 1 appended.
+    """``docs`` (text, source, lang) with ``quality_score`` from 0 to 1 appended; an input
+    column of that name is replaced.
 
     Null and empty texts are scored as texts without subwords and of one empty line;
     null sources and languages are values of their own. Without a model every
@@ -178,8 +268,6 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     places = zip(texts, block.column("source").to_pylist(), block.column("lang").to_pylist(), strict=True)
                     layout = np.array([layout_of(*place) for place in places])
                     found = model.scores(text_logits(texts, model.table)[:, 0], layout)
-                yield pa.RecordBatch.from_arrays(
-                    [*block.columns, pa.array(found, pa.float64())], [*block.schema.names, "quality_score"]
-                )
+                yield put(block, {"quality_score": pa.array(found, pa.float64())})
 
-    return docs.mapInArrow(run, docs.withColumn("quality_score", F.lit(0.0)).schema)
+    return docs.mapInArrow(run, schema_with(docs, quality_score="double"))
