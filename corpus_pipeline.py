@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import mixing, near_dedup, secrets, tokens, toxicity
-from tidewheel.llm.common import staged, table
+from tidewheel.llm.common import free_name, release, staged, table, workspace
 from tidewheel.llm.queries import vocabulary
 from tidewheel.session import ship
 
@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
     ship(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("toxic_score") < 0.5).select(docs.columns)
+    mark = free_name(docs, "toxic_score")
+    return toxicity.score(docs, model, score_col=mark).where(F.col(mark) < 0.5).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,30 +42,43 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in the place of every secret found."""
     ship(spark)
-    found, rest = secrets.scan(docs)
-    clean = secrets.redact(F.col("text"), F.col("_spans"))
-    changed = found.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text")))
+    spans = free_name(docs, "_spans")
+    found, rest = secrets.scan(docs, spans_col=spans)
+    clean = secrets.redact(F.col("text"), F.col(spans))
+    changed = found.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(F.col("text")))
     changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return changed.select(docs.columns).union(rest.select(docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: whole texts, once per epoch, and once
-    more if at least half of their words are taken in the epoch that is cut."""
+    more if at least half of their words are taken in the epoch that is cut.
+
+    Rows are numbered and written first, so each row has a count of its own, whether
+    its id is null or repeats. Texts without words are never taken.
+    """
     ship(spark)
-    taken = mixing.mix(docs)
+    numbered = staged(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
+    taken = mixing.mix(numbered.select("row.*", F.col("number").alias(free_name(docs, "_number"))), row_col=free_name(docs, "_number"))
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    copies = taken.where("size > 0").select("doc_id", times.alias("_times")).where("_times > 0")
-    rows = docs.join(copies.dropDuplicates(["doc_id"]), "doc_id")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(docs.columns)
+    copies = taken.where("size > 0").select(F.col("row").alias("number"), times.alias("times")).where("times > 0")
+    rows = numbered.join(copies, "number")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids, and digests of these and of the decoded text."""
+    """Documents with their token ids, and digests of these and of the decoded text.
+
+    Input columns named like one of these outputs are replaced.
+    """
     ship(spark)
-    encoded = tokens.encode(docs, vocabulary())
+    outputs = ("n_tokens", "token_ids", "decoded_sha256")
+    kept = [name for name in docs.columns if name.lower() not in outputs]
+    # all columns but the text in a struct, so that no name of theirs meets one of an output
+    rows = docs.select(F.struct(*(name for name in kept if name != "text")).alias("row"), "text")
+    encoded = tokens.encode(rows, vocabulary())
     return encoded.select(
-        *docs.columns,
+        *(F.col("text" if name == "text" else f"row.{name}") for name in kept),
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         "token_ids",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
@@ -81,10 +95,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
+    """All stages over ``documents``, each written as Parquet and read again. What a stage has
+    written for itself is removed when its result is there, and so is the result before."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = staged(docs, name)
-    return docs
+    last = None
+    for name, stage in STAGES[:-1]:
+        with workspace() as keep:
+            docs = keep(staged(stage(spark, docs, sf_dir), name))
+        if last is not None:
+            release(last)
+        last = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
