@@ -2,9 +2,10 @@
 
 Unit vectors whose cosine is at least c lie within epsilon = sqrt(2 - 2c). They are
 sorted by the grid cells, epsilon wide, of their leading principal coordinates.
-The sorted sequence is cut into intervals; pairs of intervals whose boxes are not
-provably farther apart than epsilon are joined, recursively by halves, down to
-blocks that are compared with one matrix product.
+The sorted sequence is cut into intervals, and these into blocks. Of a pair of intervals
+whose boxes are not provably farther apart than epsilon only those blocks are sent to
+a task that are near to a block of the other interval; they are joined, recursively by
+halves, down to pieces that are compared with one matrix product.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from tidewheel.llm.topk import matrix, usable
 
 LEADING = 8
 INTERVAL = 8192
-"""Vectors of a sequence interval: what a task holds twice."""
+"""Vectors of a sequence interval: what a task holds twice at most."""
 LEAF = 512
+"""Vectors of a block, and of a piece that is compared as a whole."""
 
 
 def principal(table: DataFrame, width: int) -> np.ndarray:
@@ -78,6 +80,7 @@ def in_order(table: DataFrame, basis: np.ndarray, epsilon: float) -> DataFrame:
         F.col("cells")[0].alias("cell"),
         place.alias("place"),
         F.floor(place / INTERVAL).cast("long").alias("interval"),
+        F.floor(place / LEAF).cast("long").alias("block"),
     )
 
 
@@ -102,6 +105,27 @@ def interval_pairs(laid: DataFrame, lead: int, epsilon: float) -> DataFrame:
     return met.select("i", "j").distinct()
 
 
+def near_blocks(laid: DataFrame, pairs: DataFrame, lead: int, epsilon: float) -> DataFrame:
+    """(i, j, right, block): the blocks of either interval of a pair that come within epsilon of
+    a block of the other one. An interval has about ``INTERVAL / LEAF`` blocks."""
+    box = laid.groupBy("interval", "block").agg(
+        F.array(*(F.min(F.col("p")[i]) for i in range(lead))).alias("low"),
+        F.array(*(F.max(F.col("p")[i]) for i in range(lead))).alias("high"),
+    )
+    boxes = box.groupBy("interval").agg(F.collect_list(F.struct("block", "low", "high")).alias("boxes"))
+    both = pairs.join(boxes.select(F.col("interval").alias("i"), F.col("boxes").alias("a")), "i").join(
+        boxes.select(F.col("interval").alias("j"), F.col("boxes").alias("b")), "j"
+    )
+    near = (
+        f"aggregate(sequence(0, {lead - 1}), 0D, (s, k) -> s + pow(greatest(0D, x.low[k] - y.high[k], y.low[k] - x.high[k]), 2))"
+        f" <= {epsilon**2 * (1 + 1e-9)!r}D"
+    )
+    left = F.expr(f"transform(filter(a, x -> exists(b, y -> {near})), x -> struct(false AS right, x.block AS block))")
+    right = F.expr(f"transform(filter(b, x -> exists(a, y -> {near})), x -> struct(true AS right, x.block AS block))")
+    sides = F.when(F.col("i") == F.col("j"), left).otherwise(F.concat(left, right))
+    return both.select("i", "j", F.inline(sides))
+
+
 def join_sequences(left: dict, right: dict, cosine: float, epsilon: float, same: bool):
     """Link counts of both sides, weighted by copies, and edges that span the links.
 
@@ -152,7 +176,7 @@ def join_sequences(left: dict, right: dict, cosine: float, epsilon: float, same:
     return counts, np.unique(np.concatenate(edges), axis=0) if edges else np.zeros((0, 2), np.int64)
 
 
-def links(laid: DataFrame, pairs: DataFrame, width: int, cosine: float, epsilon: float) -> DataFrame:
+def links(laid: DataFrame, pairs: DataFrame, width: int, lead: int, cosine: float, epsilon: float) -> DataFrame:
     """Rows (id, n, other): link counts with null ``other``, and edges with null ``n``."""
 
     def side(frame: pd.DataFrame) -> dict:
@@ -170,7 +194,7 @@ def links(laid: DataFrame, pairs: DataFrame, width: int, cosine: float, epsilon:
     def pair(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["right", "place"], ignore_index=True)
         same = bool((frame["i"] == frame["j"]).iloc[0])
-        left = side(frame[~frame["right"]])
+        left = side(frame[~frame["right"]])  # neither side is empty: nearness is mutual
         right = left if same else side(frame[frame["right"]])
         counts, edges = join_sequences(left, right, cosine, epsilon, same)
         both = [(left["id"], counts[0])] + ([] if same else [(right["id"], counts[1])])
@@ -178,10 +202,10 @@ def links(laid: DataFrame, pairs: DataFrame, width: int, cosine: float, epsilon:
         spans = pd.DataFrame({"id": edges[:, 0], "other": edges[:, 1]})
         return pd.concat([some, spans]).astype({"id": "int64", "n": "Int64", "other": "Int64"})[["id", "n", "other"]]
 
-    rows = laid.select("id", "copies", "v", "p", "place", "interval")
-    first = pairs.join(rows, pairs["i"] == rows["interval"]).withColumn("right", F.lit(False))
-    second = pairs.where("i <> j").join(rows, F.col("j") == rows["interval"]).withColumn("right", F.lit(True))
-    return first.unionByName(second).groupBy("i", "j").applyInPandas(pair, "id long, n long, other long")
+    needed = near_blocks(laid, pairs, lead, epsilon)
+    needed = needed.withColumn("interval", F.when(F.col("right"), F.col("j")).otherwise(F.col("i")))
+    rows = needed.join(laid.select("id", "copies", "v", "p", "place", "interval", "block"), ["interval", "block"])
+    return rows.groupBy("i", "j").applyInPandas(pair, "id long, n long, other long")
 
 
 def near_duplicates(
@@ -219,7 +243,7 @@ def near_duplicates(
     basis = principal(nodes, width)
     laid = staged(in_order(nodes.select("id", "copies", "v"), basis, epsilon), "order")
     pairs = interval_pairs(laid, basis.shape[1], epsilon)
-    found = staged(links(laid, pairs, width, cosine, epsilon), "links")
+    found = staged(links(laid, pairs, width, basis.shape[1], cosine, epsilon), "links")
     sums = found.where("n is not null").groupBy("id").agg(F.sum("n").alias("n"))
     edges = found.where("other is not null").select(F.col("id").alias("u"), F.col("other").alias("v"))
     labels = components(edges).withColumnRenamed("node", "id")

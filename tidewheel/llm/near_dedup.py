@@ -32,6 +32,8 @@ SKETCH = 128
 """Minima of a signature, a byte of each, that verify a pair before its sets are compared."""
 DEVIATIONS = 6
 BLOCK = 256
+SHINGLES = 2_000_000
+"""Members of a block, and shingles of all of them: a task holds two blocks."""
 CELLS = 4_000_000
 SEED = 20240229
 
@@ -169,15 +171,18 @@ def tasks(members: DataFrame, similarity: float) -> DataFrame:
 
     Members of a family are cut by the logarithm of their set size into classes, of
     which only equal and adjacent ones can be similar, and each class into blocks of
-    about ``BLOCK`` members by a hash. A member goes to the pair of its own block with
-    every block of its class and of the two classes beside it. A family of at most
-    ``BLOCK`` members is one class of one block.
+    about ``BLOCK`` members, or ``SHINGLES`` shingles if that is less, by a hash. A member
+    goes to the pair of its own block with every block of its class and of the two classes
+    beside it. A family that fits into a block is one class of one block.
     """
     step = float(-np.log(similarity))
-    sized = members.join(members.groupBy("family").agg(F.count(F.lit(1)).alias("m")), "family")
-    kind = F.when(F.col("m") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log(F.col("n_shingles")) / step).cast("int"))
+    whole = members.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("total"))
+    sized = members.join(whole, "family")
+    small = (F.col("m") <= BLOCK) & (F.col("total") <= SHINGLES)
+    kind = F.when(small, F.lit(0)).otherwise(F.floor(F.log(F.col("n_shingles")) / step).cast("int"))
     sized = sized.withColumn("kind", kind)
-    blocks = sized.groupBy("family", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    needed = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / SHINGLES)
+    blocks = sized.groupBy("family", "kind").agg(F.ceil(needed).cast("int").alias("blocks"))
     around = blocks.select(
         "family",
         F.explode(F.array(F.col("kind") - 1, F.col("kind"), F.col("kind") + 1)).alias("kind"),
