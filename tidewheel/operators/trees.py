@@ -131,13 +131,21 @@ def _histograms(forest: Forest, depth: int):
                 own, node = own[able], node[able]
                 if not len(own):
                     continue
-                tried = forest.order[node, : tree.features].astype(np.int64)
-                cell = ((number * nodes + node)[:, None] * width + tried) * bins + x[own[:, None], tried]
-                cells, place = np.unique(cell, return_inverse=True)
-                place = place.reshape(cell.shape)
-                n = np.bincount(place.ravel(), minlength=len(cells))
-                s = np.bincount(place.ravel(), np.repeat(y[own], tree.features), len(cells))
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n), pa.array(s)], ["cell", "n", "s"])
+                count, first = tree.features, 1 << depth
+                tried = forest.order[node, :count].astype(np.int64)
+                key = ((node - first)[:, None] * count + np.arange(count)) * bins + x[own[:, None], tried]
+                key, weight = key.ravel(), np.repeat(y[own], count)
+                size = first * count * bins
+                if size <= 4 * len(key):
+                    found, place = np.arange(size), key
+                else:  # few rows for many nodes
+                    found, place = np.unique(key, return_inverse=True)
+                n, s = np.bincount(place, minlength=len(found)), np.bincount(place, weight, len(found))
+                full = np.flatnonzero(n)
+                slot, step = np.divmod(found[full], bins)
+                node, nth = first + slot // count, slot % count
+                cell = ((number * nodes + node) * width + forest.order[node, nth]) * bins + step
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n[full]), pa.array(s[full])], ["cell", "n", "s"])
 
     return run
 
