@@ -7,6 +7,10 @@ of the second one. A cut divides the interval in two, which are treated alike; a
 without one is a leaf, a group of tokens that correspond as a whole. All intervals of
 a block of texts take a step at a time, so a step is a few array operations.
 
+Texts are first cut to words at single spaces, where both tokenizers always end a token, and
+every different word of a block is tokenized and divided once; a text with other white space
+beside a space is one unit as a whole. What is known of units is gathered for texts by index.
+
 Tokens of both sides whose bytes overlap are linked. Links are counted over the corpus as
 documents that hold them; every block of texts carries a dictionary of its id pairs, so
 that a pair travels once per block and not once per document.
@@ -16,9 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,29 +34,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel.llm.common import packed_numbers, ragged, send_file, staged, text_blocks, unpacked_numbers
-from tidewheel.llm.tokens import byte_letters
-
+from tidewheel.llm.tokens import Ragged, byte_letters, numbered
+
+# A space at the beginning or the end, or with white space after it, or a sign that stands
+# for a space: no place to cut.
+_WHOLE = re.compile(r"^ | (?:\s|$)|▁")
+BLOCK = 1 << 20
+"""Bytes of text that share a dictionary."""
+# Fixed value: how byte-level BPE cuts a text before it merges.
+PIECES = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+# A unit that a piece may reach beyond if another one stands before or behind it.
+_APART = re.compile(r"^\s| ")
 SLICE = 1 << 18
 """Characters that are given to a tokenizer at a time; its results are large objects."""
 
 
+def byte_lists(tokens: dict[int, bytes]) -> Ragged:
+    """The bytes of each token, by id."""
+    rows = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+    return Ragged(np.frombuffer(b"".join(rows), np.uint8), np.array(list(map(len, rows)), np.int64))
+
+
 class ByteTokenizer:
-    """A byte-level BPE file; strings of special tokens in a text are plain text."""
+    """A byte-level BPE file; strings of special tokens in a text are plain text.
+
+    The vocabulary's ids are the order of its merges, so a merge is known by what it makes.
+    """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        import tiktoken
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         values = {letter: value for value, letter in enumerate(byte_letters())}
-        self.tokens = {i: bytes(map(values.__getitem__, name)) for name, i in spec["model"]["vocab"].items()}
-        self.tokens |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.model.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
-        return [x.ids for x in found]
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks = {
+            bytes(map(values.__getitem__, name)): i for name, i in spec["model"]["vocab"].items() if name not in special
+        }
+        self.model = tiktoken.Encoding("byte_bpe", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        self.bytes = byte_lists({i: token for token, i in ranks.items()})
+
+    def encode(self, texts: list[str]) -> Ragged:
+        """Ids of each text after a space. Words that a piece always ends at are given to the
+        library together, and told apart by their bytes."""
+        joint = [i for i, text in enumerate(texts) if text and not _APART.search(text)]
+        alone = sorted(set(range(len(texts))) - set(joint))
+        parts, rows = [], []
+        for some in slices(joint, [len(texts[i]) for i in joint]):
+            ids = np.array(self.model.encode_ordinary(" " + " ".join([texts[i] for i in some])), np.int64)
+            words = np.cumsum([len(texts[i].encode("utf-8", "replace")) + 1 for i in some])
+            ends = np.cumsum(self.bytes.sizes[ids])
+            last = np.searchsorted(ends, words)
+            if len(ids) != last[-1] + 1 or (ends[last] != words).any():
+                alone += some  # a token that goes on beyond a word
+                continue
+            parts.append(Ragged(ids, np.diff(last, prepend=-1)))
+            rows += some
+        parts.append(listed([self.model.encode_ordinary(" " + texts[i]) for i in alone]))
+        place = np.empty(len(texts), np.int64)
+        place[rows + alone] = np.arange(len(texts))
+        return Ragged(*(np.concatenate([getattr(x, name) for x in parts]) for name in ("flat", "sizes"))).gather(place)
 
 
 class PieceTokenizer:
@@ -61,61 +105,72 @@ class PieceTokenizer:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.tokens = {}
+        tokens = {}
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
-            self.tokens[i] = (
-                bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
-            )
+            tokens[i] = bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
+        self.bytes = byte_lists(tokens)
+        #: whether a token always ends before a space
+        self.ends_at_space = not any(b" " in token.lstrip(b" ") for token in tokens.values())
+
+    def encode(self, texts: list[str]) -> Ragged:
+        found = [listed(self.model.encode(part, num_threads=1)) for part in slices(texts, list(map(len, texts)))]
+        none = np.zeros(0, np.int64)
+        return Ragged(*(np.concatenate([none, *(getattr(x, name) for x in found)]) for name in ("flat", "sizes")))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+
+def listed(lists: list[list[int]]) -> Ragged:
+    sizes = np.array(list(map(len, lists)), np.int64)
+    return Ragged(np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes)
 
 
 @dataclass
 class Tokens:
-    """Tokens of all texts of a block: ids, where each ends in the joined bytes of the
-    texts, and how many each text has."""
+    """Tokens of all units of a block: ids, where each ends in the joined bytes of the
+    units, and how many each unit has."""
 
     ids: np.ndarray
     ends: np.ndarray
     counts: np.ndarray
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    part, held = [], 0
-    for text in texts:
-        if part and held + len(text) > SLICE:
-            yield part
-            part, held = [], 0
-        part.append(text)
-        held += len(text)
-    if part:
-        yield part
-
-
-def tokenized(texts: list[str | None], one: ByteTokenizer, two: PieceTokenizer) -> tuple[Tokens, Tokens]:
-    """Tokens of both; none for texts that are null or empty, or that either
-    tokenizer does not give back byte by byte after a space."""
-    some = [i for i, text in enumerate(texts) if text]
-    found: list[dict[int, list[int]]] = [{}, {}]
-    at = 0
-    for part in slices([texts[i] for i in some]):
-        both = one.encode(part), two.encode(part)
-        for n, text in enumerate(part):
-            want = b" " + text.encode("utf-8", "replace")
-            if all(b"".join(map(x.tokens.__getitem__, ids[n])) == want for x, ids in zip((one, two), both, strict=True)):
-                for held, ids in zip(found, both, strict=True):
-                    held[some[at + n]] = np.array(ids[n], np.int64)
-        at += len(part)
+def units(text: str | None, two: PieceTokenizer) -> list[str]:
+    """The parts of a text that are tokenized on their own, each after a space."""
+    if not text:
+        return []
+    return [text] if not two.ends_at_space or _WHOLE.search(text) else text.split(" ")
+
+
+def slices(items: list, sizes: list[int]) -> Iterator[list]:
+    """The items in runs of about ``SLICE`` characters, one item at least."""
+    begin, held = 0, 0
+    for at, size in enumerate(sizes):
+        if held and held + size > SLICE:
+            yield items[begin:at]
+            begin, held = at, 0
+        held += size
+    if begin < len(items):
+        yield items[begin:]
+
+
+def tokenized(parts: list[str], one: ByteTokenizer, two: PieceTokenizer) -> tuple[Tokens, Tokens, np.ndarray]:
+    """Tokens of both for every unit, and whether both give it back byte by byte after a
+    space; units that they do not give back have no tokens."""
+    ids = one.encode(parts), two.encode(parts)
+    raw = [b" " + text.encode("utf-8", "replace") for text in parts]
+    want = Ragged(np.frombuffer(b"".join(raw), np.uint8), np.array(list(map(len, raw)), np.int64))
+    good = np.ones(len(parts), bool)
+    for tokenizer, own in zip((one, two), ids, strict=True):
+        given = tokenizer.bytes.inside(own)
+        good &= given.sizes == want.sizes
+        rows = np.flatnonzero(good)
+        differ = given.gather(rows).flat != want.gather(rows).flat
+        good[np.unique(np.repeat(rows, want.sizes[rows])[differ])] = False
     out = []
-    for tokenizer, held in zip((one, two), found, strict=True):
-        lengths = np.zeros(max(tokenizer.tokens) + 1, np.int64)
-        lengths[list(tokenizer.tokens)] = [len(x) for x in tokenizer.tokens.values()]
-        ids = np.concatenate([np.zeros(0, np.int64), *(held[i] for i in sorted(held))])
-        counts = np.array([len(held.get(i, ())) for i in range(len(texts))], np.int64)
-        out.append(Tokens(ids, np.cumsum(lengths[ids]), counts))
-    return tuple(out)
+    for tokenizer, own in zip((one, two), ids, strict=True):
+        kept = own.gather(np.flatnonzero(good))
+        out.append(Tokens(kept.flat, np.cumsum(tokenizer.bytes.sizes[kept.flat]), np.where(good, own.sizes, 0)))
+    return *out, good
 
 
 def group_ends(one: Tokens, two: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -157,17 +212,16 @@ def links(one: Tokens, two: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return (np.cumsum(ours) - ours)[fresh], (np.cumsum(~ours) - ~ours)[fresh]
 
 
-def group_texts(one: Tokens, two: Tokens) -> tuple[list[str], np.ndarray]:
-    """The groups of each text as ``a1,a2|b1;a3|b2,b3``, and their number."""
+def group_texts(one: Tokens, two: Tokens) -> tuple[pa.Array, np.ndarray]:
+    """The groups of each unit as ``a1,a2|b1;a3|b2,b3``, and their number."""
     a_ends, b_ends = group_ends(one, two)
     sides = []
     for side, ends in ((one, a_ends), (two, b_ends)):
         ids = pa.array(side.ids).cast(pa.string())
         sides.append(pa.compute.binary_join(pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), ids), ","))
     groups = pa.compute.binary_join_element_wise(*sides, "|")
-    stops = np.searchsorted(a_ends, np.cumsum(one.counts), "right")
-    offsets = np.append(0, stops).astype(np.int32)
-    return pa.compute.binary_join(pa.ListArray.from_arrays(offsets, groups), ";").to_pylist(), np.diff(offsets)
+    offsets = np.append(0, np.searchsorted(a_ends, np.cumsum(one.counts), "right")).astype(np.int32)
+    return pa.compute.binary_join(pa.ListArray.from_arrays(offsets, groups), ";"), np.diff(offsets).astype(np.int64)
 
 
 OUTPUTS = {
@@ -187,7 +241,6 @@ _LOADED: dict[tuple[str, str], tuple[ByteTokenizer, PieceTokenizer]] = {}
 def loaded(one: str, two: str) -> tuple[ByteTokenizer, PieceTokenizer]:
     """The two tokenizers, of one application at a time, in this Python worker."""
     if (one, two) not in _LOADED:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _LOADED.clear()
         _LOADED[one, two] = ByteTokenizer(SparkFiles.get(one)), PieceTokenizer(SparkFiles.get(two))
     return _LOADED[one, two]
@@ -228,7 +281,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, text_col: str = "tex
         tokenizers = loaded(*names)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in text_blocks(batch, "text"):
+            for part in text_blocks(batch, "text", BLOCK):
                 yield _block(part, block, kept, *tokenizers, keep_groups)
                 block += 1
 
@@ -254,33 +307,43 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, text_col: str = "tex
 
 def _block(part: pa.RecordBatch, block: int, kept: list[str], one, two, keep_groups: bool) -> pa.RecordBatch:
     """A row for each document, and a last one with the dictionary of the block."""
-    a, b = tokenized(part.column("text").to_pylist(), one, two)
+    cut = [units(text, two) for text in part.column("text").to_pylist()]
+    different, which = numbered([x for own in cut for x in own])
+    a, b, good = tokenized(different, one, two)
+    sizes = np.array(list(map(len, cut)), np.int64)
+    doc = np.repeat(np.arange(len(cut)), sizes)
+    whole = np.ones(len(cut), bool)
+    whole[doc[~good[which]]] = False
+    items = Ragged(which[whole[doc]], np.where(whole, sizes, 0))
     texts, n_groups = group_texts(a, b)
+    joined = pa.ListArray.from_arrays(np.append(0, np.cumsum(items.sizes)).astype(np.int32), texts.take(pa.array(items.flat)))
+    texts = pa.compute.binary_join(joined, ";").to_pylist()
     first, second = links(a, b)
-    keys = a.ids[first] << 32 | b.ids[second]
-    pairs, number = np.unique(keys, return_inverse=True)
-    doc = np.repeat(np.arange(part.num_rows), a.counts)[first]
-    held, times = np.unique(doc * max(len(pairs), 1) + number, return_counts=True)
-    doc_of, number = np.divmod(held, max(len(pairs), 1))
-    stops = np.searchsorted(doc_of, np.arange(part.num_rows), "right")
-    starts = np.append(0, stops[:-1])
-    rows = part.num_rows
-    cells = list(zip(starts.tolist(), stops.tolist(), strict=True))
+    unit = np.repeat(np.arange(len(different)), a.counts)[first]
+    pairs, number = np.unique(a.ids[first] << 32 | b.ids[second], return_inverse=True)
+    linked = Ragged(number, np.bincount(unit, minlength=len(different))).inside(items)
+    rows, width = part.num_rows, max(len(pairs), 1)
+    held, times = np.unique(np.repeat(np.arange(rows), linked.sizes) * width + linked.flat, return_counts=True)
+    doc, number = np.divmod(held, width)
+    stops = np.cumsum(np.bincount(doc, minlength=rows))
+    cells = list(zip((stops - np.bincount(doc, minlength=rows)).tolist(), stops.tolist(), strict=True))
     more = lambda values, kind: pa.concat_arrays([pa.array(values, kind), pa.nulls(1, kind)])
+    total = lambda values: Ragged(values, np.ones(len(values), np.int64)).inside(items)
+    sums = [_per_list(total(x)) for x in (a.counts, b.counts, n_groups)]
     row = part.column("row")
-    digest = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in texts]
+    digest = [hashlib.sha256(x.encode()).hexdigest() if n else "" for x, n in zip(texts, sums[0], strict=True)]
+    seen = np.bincount(number, minlength=len(pairs))
+    used = np.flatnonzero(seen)  # a unit of a text that has no tokens may be the only one with a pair
+    number = np.searchsorted(used, number)
     dictionary = [
-        pa.array([None] * rows + [packed_numbers(x)], pa.binary())
-        for x in (pairs >> 32, pairs & 0xFFFFFFFF, np.bincount(number, minlength=len(pairs)))
+        pa.array([None] * rows + [packed_numbers(x[used])], pa.binary()) for x in (pairs >> 32, pairs & 0xFFFFFFFF, seen)
     ]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block] * (rows + 1), pa.int64()),
             pa.concat_arrays([row, pa.nulls(1, row.type)]),
-            more(a.counts, pa.int64()),
-            more(b.counts, pa.int64()),
-            more(n_groups, pa.int64()),
-            more(np.bincount(doc, minlength=rows), pa.int64()),
+            *(more(x, pa.int64()) for x in sums),
+            more(linked.sizes, pa.int64()),
             more(digest, pa.string()),
             more(texts if keep_groups else [None] * rows, pa.string()),
             # in order, so that gaps between numbers are small
@@ -292,6 +355,13 @@ def _block(part: pa.RecordBatch, block: int, kept: list[str], one, two, keep_gro
     )
 
 
+def _per_list(values: Ragged) -> np.ndarray:
+    """The sum of each list."""
+    ends = np.cumsum(values.sizes)
+    totals = np.append(0, np.cumsum(values.flat))
+    return totals[ends] - totals[ends - values.sizes]
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each pair of a block's dictionary."""
     for batch in batches:
