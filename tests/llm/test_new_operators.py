@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tests.llm.helpers import DOCS, WORDS, awkward, empty
-from tidewheel.llm import alignment, cleaning, queries, runs
+from tidewheel.llm import alignment, cleaning, queries, runs, tokens
 
 SF = "/root/testdata/sf0.001"
 
@@ -198,17 +198,34 @@ def test_cleaned_text_and_verdict(spark):
     assert got[3]["kept"] and got[3]["n_kept_words"] == got[3]["n_words"]
 
 
-def plain_alignment(texts, one, two):
+def libraries():
+    """Ids of a whole text by the libraries themselves, and the bytes of their tokens."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    paths = [queries.vocabulary(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    one, two = Tokenizer.from_file(paths[0]), sentencepiece.SentencePieceProcessor(model_file=paths[1])
+    one.encode_special_tokens = True
+    letters = {letter: bytes([value]) for value, letter in enumerate(tokens.byte_letters())}
+    names = {i: b"".join(letters.get(c, b"?") for c in name) for name, i in one.get_vocab().items()}
+    pieces = {
+        i: bytes([int(two.id_to_piece(i)[3:5], 16)]) if two.is_byte(i) else two.id_to_piece(i).replace("▁", " ").encode()
+        for i in range(two.get_piece_size())
+    }
+    return (lambda text: one.encode(" " + text, add_special_tokens=False).ids, names), (two.encode, pieces)
+
+
+def plain_alignment(texts):
     """Groups by all common ends, links by all pairs of a text, counts by documents."""
-    found, documents = [], Counter()
+    found, documents, both = [], Counter(), libraries()
     for text in texts:
-        sides = [x.encode([text])[0] if text else [] for x in (one, two)]
+        sides = [encode(text) if text else [] for encode, _ in both]
         want = b" " + (text or "").encode()
-        if any(b"".join(x.tokens[i] for i in ids) != want for x, ids in zip((one, two), sides, strict=True)):
+        if any(b"".join(names[i] for i in ids) != want for (_, names), ids in zip(both, sides, strict=True)):
             sides = [[], []]
         spans = []
-        for x, ids in zip((one, two), sides, strict=True):
-            ends = np.cumsum([len(x.tokens[i]) for i in ids]).tolist()
+        for (_, names), ids in zip(both, sides, strict=True):
+            ends = np.cumsum([len(names[i]) for i in ids]).tolist()
             spans.append(list(zip([0, *ends[:-1]], ends, ids, strict=False)))
         cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
         groups = []
@@ -235,7 +252,6 @@ def plain_alignment(texts, one, two):
 
 def test_alignment_matches_plain_version(spark, clashing):
     paths = [queries.vocabulary(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    one, two = alignment.ByteTokenizer(paths[0]), alignment.PieceTokenizer(paths[1])
     texts = ["", " ", "a", "\n\n", "naïve 日本語 text​ ﬁ", "<s> <|endoftext|> <0x41> ▁", " lead", "trail ", "\x00", "é" * 50, "١٢٣"]
     texts += [r["text"][:700] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
     extra = spark.createDataFrame([(100 + i, t, None, None, 1, 0.5, "z") for i, t in enumerate(texts)], DOCS)
@@ -243,7 +259,7 @@ def test_alignment_matches_plain_version(spark, clashing):
     rows = alignment.align(table, *paths, keep_groups=True).join(table.select("doc_id", "text"), "doc_id").distinct()
     got = rows.collect()
     every = [r["text"] for r in table.collect()]
-    want = dict(zip(every, plain_alignment(every, one, two), strict=True))
+    want = dict(zip(every, plain_alignment(every), strict=True))
     assert {r["doc_id"] for r in got} == {r["doc_id"] for r in table.collect()} - {None}
     for row in got:
         assert {name: row[name] for name in want[row["text"]]} == want[row["text"]], row["text"]
@@ -252,13 +268,32 @@ def test_alignment_matches_plain_version(spark, clashing):
     assert whole.count() == table.count() and "text" not in whole.columns and "block" in whole.columns
 
 
+def test_units_are_tokenized_like_whole_texts():
+    paths = [queries.vocabulary(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    one, two = alignment.ByteTokenizer(paths[0]), alignment.PieceTokenizer(paths[1])
+    assert two.ends_at_space
+    rng = random.Random(11)
+    parts = ["the", "and", "don't", "'s", "\n", "\t", " ", "  ", "\r\n", "\u00a0", "\u3000", "é", "日本", "12", "...", "!?", "x" * 30, "▁", "\x00"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(400)]
+    texts += ["".join(rng.choice([*parts, " "]) for _ in range(rng.randint(1, 12))) for _ in range(400)]
+    cut, both = 0, libraries()
+    for text in texts:
+        own = alignment.units(text, two)
+        cut += len(own) > 1
+        assert "".join(" " + x for x in own) == " " + text
+        for tokenizer, (encode, _) in zip((one, two), both, strict=True):
+            assert tokenizer.encode(own).flat.tolist() == tokenizer.encode([text]).flat.tolist() == encode(text), repr(text)
+    assert cut > 50
+
+
 def test_alignment_of_long_and_empty(spark):
     paths = [queries.vocabulary(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     assert alignment.align(empty(spark), *paths).count() == 0
     one, two = alignment.ByteTokenizer(paths[0]), alignment.PieceTokenizer(paths[1])
     texts = ["x" * 30_000, "日本" * 5_000]
     rows = alignment.align(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), *paths, keep_groups=True)
-    a, b = alignment.tokenized(texts, one, two)
+    a, b, good = alignment.tokenized(texts, one, two)
+    assert good.all()
     for row in rows.collect():
         own = [x.counts[: row["doc_id"]].sum() for x in (a, b)]
         ends = [x.ends[o : o + x.counts[row["doc_id"]]] for x, o in zip((a, b), own, strict=True)]
