@@ -113,3 +113,24 @@ def test_best_of_search_is_refitted(spark, folder):
     drawn = QUERIES["holdout_search_tree"](spark, folder).collect()
     assert len(drawn) == 210
     assert QUERIES["holdout_search_best"](spark, folder).first()["mse"] == min(row["mse"] for row in drawn)
+
+
+def test_rows_alike_are_added_up_before_trees(spark):
+    x, y, fold = table()
+    y = y + 1e8  # deviations have to survive large labels
+    often = [np.concatenate([values] * 3) for values in (x % 2, y, fold)]
+    often[1] += np.repeat([0.0, 1.0, 5.0], len(y))
+    rows = trees.gathered(frame(spark, *often))
+    assert rows.count() <= 3 * 2**FEATURES and rows.agg({"n": "sum"}).first()[0] == 3 * len(y)
+    for row in rows.collect():
+        own = often[1][(often[0] == row["bins"]).all(1) & (often[2] == row["fold"])]
+        assert row["n"] == len(own) and row["y"] == pytest.approx(own.mean(), rel=1e-14)
+        assert row["spread"] == pytest.approx(((own - own.mean()) ** 2).sum(), rel=1e-6)
+    config = {"max_depth": 3, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": 5}
+    often[1] -= 1e8  # gains of splits are not made for these
+    found = trees.search(frame(spark, *often), [config], FEATURES, BINS, 3)
+    folds = []
+    for k in range(3):
+        own = often[2] == k
+        folds.append(plain_error((often[0][~own], often[1][~own]), (often[0][own], often[1][own]), config))
+    assert found.metrics[0] == pytest.approx(np.mean(folds), rel=1e-6)

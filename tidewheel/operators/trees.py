@@ -1,6 +1,9 @@
 """Regression trees of a whole search, grown together on histograms.
 
-Every row is a short array of bins. A level of all trees, of every fold and every setting,
+Every row is a short array of bins. Rows of one fold with the same bins go the same way down
+every tree, so they are first added up into one row: their number, mean label and squared deviation
+from it, which is all that splits and errors ask for. There are at most (bins ** features) of
+these a fold, however many rows. A level of all trees, of every fold and every setting,
 is one job: tasks send the rows of their partition down the trees grown so far and add up
 (rows, sum of the label) per tree, node, feature and bin; Spark adds the tasks' sums, and
 windows over the bins of a node find its best split. What comes back is one row per split,
@@ -73,6 +76,18 @@ def binned(df: DataFrame, features: Sequence[str], label: str, bins: int, *keep:
     return rows.select(cells.alias("bins"), F.col(label).cast("double").alias("y"), *keep)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """The rows (bins, y, fold) added up by bins and fold: ``(bins, fold, n, y, spread)`` with
+    their number, the mean of their labels and the sum of squared deviations from it. Work on
+    these costs more than moving them, so they go to all cores, few as they may be."""
+    n = F.count(F.lit(1))
+    sums = df.groupBy("bins", "fold").agg(
+        n.alias("n"), F.avg("y").alias("y"), (F.var_pop("y") * n).alias("spread")
+    )
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return sums.repartition(max(cores, df.rdd.getNumPartitions()), "bins", "fold")
+
+
 class Forest:
     """Trees as arrays by node; the children of node i are 2 i and 2 i + 1, the root is 1.
 
@@ -122,7 +137,7 @@ def _histograms(forest: Forest, depth: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = _matrix(batch.column("bins"), width), batch.column("y").to_numpy()
+            x, y, rows = _matrix(batch.column("bins"), width), batch.column("y").to_numpy(), batch.column("n").to_numpy()
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
             for number, tree in enumerate(forest.trees):
                 own = np.flatnonzero(fold != tree.fold)
@@ -134,13 +149,15 @@ def _histograms(forest: Forest, depth: int):
                 count, first = tree.features, 1 << depth
                 tried = forest.order[node, :count].astype(np.int64)
                 key = ((node - first)[:, None] * count + np.arange(count)) * bins + x[own[:, None], tried]
-                key, weight = key.ravel(), np.repeat(y[own], count)
+                key, many = key.ravel(), np.repeat(rows[own], count)
+                weight = np.repeat(rows[own] * y[own], count)
                 size = first * count * bins
                 if size <= 4 * len(key):
                     found, place = np.arange(size), key
                 else:  # few rows for many nodes
                     found, place = np.unique(key, return_inverse=True)
-                n, s = np.bincount(place, minlength=len(found)), np.bincount(place, weight, len(found))
+                n = np.bincount(place, many, len(found)).astype(np.int64)
+                s = np.bincount(place, weight, len(found))
                 full = np.flatnonzero(n)
                 slot, step = np.divmod(found[full], bins)
                 node, nth = first + slot // count, slot % count
@@ -188,13 +205,13 @@ def grow(
     least: int = 2,
     seed: int = 42,
 ) -> Forest:
-    """All ``trees`` on ``data`` (bins, y, fold); a tree leaves out the rows of its fold.
+    """All ``trees`` on ``data``, as :func:`gathered`; a tree leaves out the rows of its fold.
     Nodes with fewer than ``least`` rows are not split.
 
     One job per level, and nothing but its splits comes back from it.
     """
     forest = Forest(trees, features, depth, bins, least, seed)
-    rows = data.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")).collect()
+    rows = data.groupBy("fold").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("s")).collect()
     for number, tree in enumerate(forest.trees):
         forest.rows[number, 1] = sum(row["n"] for row in rows if row["fold"] != tree.fold)
         forest.total[number, 1] = math.fsum(row["s"] for row in rows if row["fold"] != tree.fold)
@@ -226,8 +243,8 @@ class Stops:
 
 def squared_errors(data: DataFrame, forest: Forest, stops: Stops) -> np.ndarray:
     """Mean squared error of each tree, depth and least rows of a split node: on the rows of
-    a tree's fold, or on all of ``data`` for a tree that left out none. All models are scored
-    in one pass, in which a task sends on one sum per model."""
+    a tree's fold, or on all of ``data`` (see :func:`gathered`) for a tree that left out none. All
+    models are scored in one pass, in which a task sends on one sum per model."""
     shape = len(forest.trees), len(stops.depths), len(stops.rows)
     width, size = forest.features, math.prod(shape)
 
@@ -236,20 +253,21 @@ def squared_errors(data: DataFrame, forest: Forest, stops: Stops) -> np.ndarray:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = _matrix(batch.column("bins"), width), batch.column("y").to_numpy()
+            x = _matrix(batch.column("bins"), width)
+            y, n, spread = (batch.column(name).to_numpy() for name in ("y", "n", "spread"))
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
             for number, tree in enumerate(forest.trees):
                 own = np.arange(len(y)) if tree.fold == NO_FOLD else np.flatnonzero(fold == tree.fold)
                 paths = forest.paths(number, x[own], max(stops.depths))
                 means, rows = forest.means(number)[paths], forest.rows[number][paths]
-                at = np.arange(len(own))
+                at, many, within = np.arange(len(own)), n[own], spread[own].sum()
                 for j, least in enumerate(stops.rows):
                     # a node with too few rows is where the way down ends
                     level = np.where((rows < least).any(1), (rows < least).argmax(1), paths.shape[1] - 1)
                     for i, depth in enumerate(stops.depths):
                         off = means[at, np.minimum(level, depth)] - y[own]
-                        error[number, i, j] += off @ off
-                        count[number, i, j] += len(own)
+                        error[number, i, j] += (off * many) @ off + within
+                        count[number, i, j] += many.sum()
         cells = pa.array(np.arange(size, dtype=np.int32))
         yield pa.RecordBatch.from_arrays([cells, pa.array(error.ravel()), pa.array(count.ravel())], ["cell", "error", "n"])
 
@@ -294,13 +312,13 @@ def search(
     trees = [Tree(leaf, tried, fold) for leaf, tried in kinds for fold in left_out]
     depths = tuple(sorted({int(c["max_depth"]) for c in configs}))
     stops = Stops(depths, tuple(sorted({int(c["min_samples_split"]) for c in configs})))
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = gathered(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         forest = grow(train, trees, features, max(depths), bins, max(2, min(stops.rows)), seed)
         inner = squared_errors(train, forest, stops)
     finally:
         train.unpersist()
-    outer = squared_errors(test, forest, stops) if test is not None else inner
+    outer = squared_errors(gathered(test), forest, stops) if test is not None else inner
 
     def error(config: Config, fold: int, errors: np.ndarray) -> float:
         kind = int(config["min_samples_leaf"]), features_per_split(config["max_features"], features)
