@@ -179,3 +179,24 @@ def test_boosting_learns_three_classes(spark):
     }
     train = search.training_rows(rows, "xs", "class", "fold")
     assert search.cross_validated(train, "fold", 2, [config], search.boost_spec()).first().accuracy == 1
+
+
+def test_whole_grid_is_ranked_per_search(spark):
+    import hashlib
+
+    space = {"a": trials.GridAxis((1, 2, 3)), "b": trials.GridAxis(tuple(range(7)))}
+    rows = trials.ranked_grid(spark.range(5), "id", space, 4, 3).collect()
+    for key in range(5):
+        ranks = sorted((hashlib.md5(f"3:grid:{key}:{i}".encode()).hexdigest(), i) for i in range(21))
+        own = sorted((row for row in rows if row["id"] == key), key=lambda row: row["draw"])
+        assert [(row["draw"], row["config_id"]) for row in own] == [(d, i) for d, (_, i) in enumerate(ranks[:4])]
+        assert all(row["config"] == (row["config_id"] // 7 + 1, row["config_id"] % 7) for row in own)
+    assert trials.ranked_grid(spark.range(2), "id", space, 50, 3).count() == 42
+
+
+def test_the_query_ranks_every_configuration(spark, folder):
+    from tidewheel.plans.registry import ORACLES, QUERIES
+
+    assert "row_number()" in ORACLES["sample_grid"] and "range(3240)" in ORACLES["sample_grid"]
+    plan = QUERIES["sample_grid"](spark, folder)._jdf.queryExecution().analyzed().toString()
+    assert "array_sort" in plan and "3239" in plan
