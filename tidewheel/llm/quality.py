@@ -216,17 +216,19 @@ def fit(
     if not {0, 1} <= set(known.label.tolist()):
         return None
     named = F.col("doc_id").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(True))
-    unlabelled = docs.where(named).join(marks.select("doc_id"), "doc_id", "left_anti")
+    outside = docs.where(named)
+    marked = marks.select("doc_id")
 
     def exchange(views: Views, good: float) -> tuple[Rows, Rows]:
         """What the content view and the layout view are sure of."""
-        scores = staged(view_scores(unlabelled, views), "views")
+        # texts stay where they are: labelled ones are scored too, and their scores left out
+        scores = staged(view_scores(outside, views).join(marked, "doc_id", "left_anti"), "views")
         out = []
         for view in ("content", "layout"):
             low, high = sure_limits(scores, view, sure_share, good)
             label = F.when(F.col(view) >= F.lit(float(high)), 1).when(F.col(view) < F.lit(float(low)), 0)
             sure = scores.groupBy("doc_id").agg(F.min(label).alias("label")).where("label is not null")
-            out.append(described(unlabelled, sample_rows(sure, F.col("doc_id"), pseudo_rows)))
+            out.append(described(outside, sample_rows(sure, F.col("doc_id"), pseudo_rows)))
         release(scores)
         return out[0], out[1]
 
