@@ -1,6 +1,11 @@
 import math
+from collections import Counter
 
 import pytest
+from pyspark.errors import SparkRuntimeException
+from pyspark.ml import Estimator, Model
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.param import Param, Params
 from pyspark.sql import functions as F
 
 from tests.helpers import assert_same_rows, plan_of
@@ -181,6 +186,58 @@ def test_boosting_learns_three_classes(spark):
     assert search.cross_validated(train, "fold", 2, [config], search.boost_spec()).first().accuracy == 1
 
 
+class _Recorder(Estimator):
+    """Notes the partitions of the rows of every fit; its model predicts the depth."""
+
+    depth = Param(Params._dummy(), "depth", "")
+    seen = []
+
+    def _fit(self, dataset):
+        _Recorder.seen.append(dataset.rdd.getNumPartitions())
+        return _Constant(self.getOrDefault(self.depth))
+
+
+class _Constant(Model):
+    def __init__(self, value):
+        super().__init__()
+        self.value = value
+
+    def _transform(self, dataset):
+        return dataset.withColumn("prediction", F.lit(float(self.value)))
+
+
+def test_fits_take_no_tasks_for_empty_partitions(spark):
+    rows = spark.range(600).repartition(64, "id").select(
+        F.array(F.col("id") * 1.0).alias("xs"), (F.col("id") % 7).alias("y"), (F.col("id") % 2).cast("int").alias("fold")
+    )
+    train = search.training_rows(rows, "xs", "y", "fold")
+    recorder = _Recorder()
+    spec = search.ModelSpec(
+        recorder, {"depth": recorder.depth}, {}, RegressionEvaluator(labelCol="label", metricName="mse"), "mse"
+    )
+    _Recorder.seen.clear()
+    scored = search.cross_validated(train, "fold", 2, [{"depth": 1}, {"depth": 2}], spec).collect()
+    assert _Recorder.seen == [1] * 4  # and the best config is not fitted again
+    errors = [sum((i % 7 - row.config.depth) ** 2 for i in range(600)) / 600 for row in scored]
+    assert [row.mse for row in scored] == pytest.approx(errors)
+    with pytest.raises(ValueError, match="empty"):
+        search.cross_validated(train.where("fold = 0"), "fold", 2, [{"depth": 1}], spec)
+    with pytest.raises(SparkRuntimeException, match="Fold number"):
+        search.cross_validated(train, "fold", 1, [{"depth": 1}], spec)
+
+
+def test_rows_are_dealt_evenly_and_alike(spark, monkeypatch):
+    rows = search.training_rows(
+        spark.range(600).select(F.array(F.col("id") % 50 * 1.0).alias("xs"), F.lit(1).alias("y")), "xs", "y"
+    )
+    few = rows.repartition(3)
+    assert search.dealt(few) is few
+    monkeypatch.setattr(search, "ROWS_PER_TASK", 100)
+    parts = [search.dealt(few).rdd.glom().collect() for _ in range(2)]
+    assert all(97 <= size <= 103 for size in map(len, parts[0])) and parts[0] == parts[1]
+    assert Counter(row.features[0] for part in parts[0] for row in part) == {float(i): 12 for i in range(50)}
+
+
 def test_whole_grid_is_ranked_per_search(spark):
     import hashlib
 
